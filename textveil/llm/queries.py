@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textveil.llm import splits
+from textveil.llm import pieces, splits, survivors
 from textveil.llm.keys import table
 
 
@@ -21,5 +21,21 @@ def p1_assign(spark: SparkSession, d: str) -> DataFrame:
     return splits.assign_splits(_persons(spark, d)).select("split_id", "person_no", "new_phase", "state")
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return survivors.survivors(table(spark, d, "radiology_df")).select("report_id", "report_row_id")
+
+
+def p5_records(spark: SparkSession, d: str) -> DataFrame:
+    return survivors.fuse(table(spark, d, "radiology_df"))
+
+
+def p6_pieces(spark: SparkSession, d: str) -> DataFrame:
+    return pieces.split_texts(table(spark, d, "radiology_df"), "report_row_id", "text")
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return p6_pieces(spark, d).where("piece_no = 0").select("report_row_id")
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k[0] == "p" and k[1:2].isdigit()}
