@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textveil.llm import pieces, splits, survivors
+from textveil.llm import pieces, sentences, splits, survivors
 from textveil.llm.keys import table
 
 
@@ -37,5 +37,9 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return p6_pieces(spark, d).where("piece_no = 0").select("report_row_id")
 
 
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return sentences.sentence_units(table(spark, d, "radiology_df"), "report_row_id", "text")
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k[0] == "p" and k[1:2].isdigit()}
