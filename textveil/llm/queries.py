@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textveil.llm import pieces, sentences, splits, survivors
+from textveil.llm import personal, pieces, sentences, splits, survivors
 from textveil.llm.keys import table
 
 
@@ -41,5 +41,17 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return sentences.sentence_units(table(spark, d, "radiology_df"), "report_row_id", "text")
 
 
+def _notes(spark: SparkSession, d: str) -> DataFrame:
+    return personal.texts_of((table(spark, d, "radiology_df"), "radiology_df", "report_row_id", "text"), (table(spark, d, "resource"), "resource", "resource_row_id", "valuestring"))
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return personal.find_mentions(_notes(spark, d))
+
+
+def p4_redacted(spark: SparkSession, d: str) -> DataFrame:
+    return personal.redact(_notes(spark, d))
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k[0] == "p" and k[1:2].isdigit()}
