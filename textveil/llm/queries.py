@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textveil.llm import personal, pieces, sentences, splits, survivors
+from textveil.llm import leakage, personal, pieces, sentences, splits, survivors
 from textveil.llm.keys import table
 
 
@@ -53,5 +53,13 @@ def p4_redacted(spark: SparkSession, d: str) -> DataFrame:
     return personal.redact(_notes(spark, d))
 
 
+def p7_leaked(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.leaked(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return p7_leaked(spark, d).where(F.col("longest_run") >= leakage.PASSAGE).select("doc_id", "item_id")
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k[0] == "p" and k[1:2].isdigit()}
