@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textveil.llm import leakage, personal, pieces, sentences, splits, survivors
+from textveil.llm import leakage, overlap, personal, pieces, sentences, splits, survivors
 from textveil.llm.keys import table
 
 
@@ -61,5 +61,19 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return p7_leaked(spark, d).where(F.col("longest_run") >= leakage.PASSAGE).select("doc_id", "item_id")
 
 
+def p3_overlaps(spark: SparkSession, d: str) -> DataFrame:
+    return overlap.overlaps(table(spark, d, "split_document"), table(spark, d, "resource"))
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return p3_overlaps(spark, d).select(F.least("train_id", "eval_id").alias("split_id_a"), F.greatest("train_id", "eval_id").alias("split_id_b")).distinct()
+
+
+def p3_report(spark: SparkSession, d: str) -> DataFrame:
+    """Overlaps counted per phase and document_type of the evaluation rows."""
+    counts = [F.count(F.lit(1)).alias("n_pairs"), F.countDistinct("eval_id").alias("n_eval_rows"), F.sum((F.col("distance") == 0).cast("bigint")).alias("n_same")]
+    return p3_overlaps(spark, d).groupBy("phase", "document_type").agg(*counts)
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k[0] == "p" and k[1:2].isdigit()}
