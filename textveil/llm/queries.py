@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textveil.llm import leakage, overlap, personal, pieces, sentences, splits, survivors
+from textveil.llm import leakage, mixing, overlap, personal, pieces, sentences, splits, survivors
 from textveil.llm.keys import table
 
 
@@ -75,5 +75,13 @@ def p3_report(spark: SparkSession, d: str) -> DataFrame:
     return p3_overlaps(spark, d).groupBy("phase", "document_type").agg(*counts)
 
 
+def p8_mix(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_target"))[0]
+
+
+def p8_shares(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_target"))[1]
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k[0] == "p" and k[1:2].isdigit()}
