@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textveil.llm import leakage, mixing, overlap, personal, pieces, sentences, splits, survivors
+from textveil.llm import leakage, mixing, overlap, personal, pieces, reading, sentences, splits, survivors
 from textveil.llm.keys import table
 
 
@@ -83,5 +83,17 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_target"))[1]
 
 
+def p9_levels(spark: SparkSession, d: str) -> DataFrame:
+    return reading.reading_levels(table(spark, d, "documents"), table(spark, d, "reading_label"))
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return p9_levels(spark, d).select("doc_id", "reading_level")
+
+
+def p9_profile(spark: SparkSession, d: str) -> DataFrame:
+    return reading.source_profile(table(spark, d, "documents"), p9_levels(spark, d))
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k[0] == "p" and k[1:2].isdigit()}
