@@ -25,8 +25,11 @@ from textveil.session import cut
 SHARE = 0.15
 #: Words of a segment, for all but the shortest texts.
 SEGMENT = 4
-#: 64-bit words of the parity sketch.
-SKETCH = 8
+#: 64-bit words of the parity sketch that goes with every run of words.
+SKETCH = 4
+#: Bits of the filter of wanted runs that goes to every executor, whatever the
+#: input: 8 MB.  Where it fills up it lets more runs pass, never fewer.
+FILTER_BITS = 1 << 26
 
 
 def edits(n: int, share: float = SHARE) -> int:
@@ -83,7 +86,7 @@ def _segments(share: float):
             of = _lengths(int(sizes.max(initial=0)), share)[sizes]
             parts = []
             for l in np.unique(of):
-                text, place, at = inside(np.where(of == l, sizes, 0), int(l)) if l else ()
+                text, place, _ = inside(np.where(of == l, sizes, 0), int(l))
                 starts = np.concatenate([[0], np.cumsum(sizes)])[:-1]
                 take = place % l == 0
                 text, place = text[take], place[take]
@@ -93,24 +96,70 @@ def _segments(share: float):
     return cut_up
 
 
-def _substrings(share: float):
-    def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _substrings(b: pa.RecordBatch, share: float) -> list:
+    """All runs of the texts of a batch that a segment could match: ``(text, place, run)`` by length."""
+    sizes, flat = _flat(b)
+    top = int(sizes.max(initial=0))
+    ls = _lengths(top + edits(max(top, 1), share) + 1, share)
+    starts = np.concatenate([[0], np.cumsum(sizes)])[:-1]
+    parts = []
+    for l in range(1, SEGMENT + 1):
+        # texts that a text of this segment length can be near to
+        near = [n for n in range(top + 1) if n >= l and (ls[max(0, n - edits(n, share)) : n + edits(n, share) + 1] == l).any()]
+        mine = np.isin(sizes, near)
+        if mine.any():
+            text, place, _ = inside(np.where(mine, sizes, 0), l)
+            parts.append((text, place, grams(flat, l)[starts[text] + place]))
+    return parts
+
+
+def _bit(run: np.ndarray) -> np.ndarray:
+    return (run.view(np.uint64) >> np.uint64(17)).astype(np.int64) % FILTER_BITS
+
+
+def run_filter(runs: DataFrame) -> np.ndarray:
+    """A bitmap of the runs: a filter of fixed size, put together by the executors."""
+
+    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = [np.unique(_bit(b.column("run").to_numpy())) for b in batches]
+        at = np.unique(np.concatenate(at)) if at else np.zeros(0, np.int64)
+        word, first = np.unique(at >> 5, return_index=True)
+        value = np.bitwise_or.reduceat(np.int64(1) << (at & 31), first) if len(at) else at
+        yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(value)], ["word", "value"])
+
+    got = runs.mapInArrow(bits, "word bigint, value bigint").groupBy("word").agg(F.bit_or("value").alias("value")).toArrow()
+    out = np.zeros(FILTER_BITS >> 5, np.uint32)
+    out[got.column("word").to_numpy()] = got.column("value").to_numpy().astype(np.uint32)
+    return out
+
+
+def _passes(bitmap: np.ndarray, run: np.ndarray) -> np.ndarray:
+    at = _bit(run)
+    return (bitmap[at >> 5] >> (at & 31).astype(np.uint32)) & np.uint32(1) == 1
+
+
+def _counted_runs(share: float, bitmap: np.ndarray):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            runs = [p[2][_passes(bitmap, p[2])] for p in _substrings(b, share)]
+            run, n = np.unique(np.concatenate(runs) if runs else np.zeros(0, np.int64), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(run), pa.array(n)], ["run", "n"])
+
+    return count
+
+
+def _wanted_runs(share: float, bitmap: np.ndarray):
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sizes, flat = _flat(b)
-            top = int(sizes.max(initial=0))
-            ls = _lengths(top + edits(max(top, 1), share) + 1, share)
-            starts = np.concatenate([[0], np.cumsum(sizes)])[:-1]
             parts = []
-            for l in range(1, SEGMENT + 1):
-                # texts that a text of this segment length can be near to
-                near = [n for n in range(top + 1) if n >= l and (ls[max(0, n - edits(n, share)) : n + edits(n, share) + 1] == l).any()]
-                mine = np.isin(sizes, near)
-                if mine.any():
-                    text, place, _ = inside(np.where(mine, sizes, 0), l)
-                    parts.append((text, place, grams(flat, l)[starts[text] + place]))
-            yield _runs(b, parts)
+            for text, place, run in _substrings(b, share):
+                ok = _passes(bitmap, run)
+                parts.append((text[ok], place[ok], run[ok]))
+            out = _runs(b, parts)
+            text = pa.array(np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, np.int64))
+            yield pa.RecordBatch.from_arrays([*out.columns, b.column("sketch").take(text)], ["cls", "n", "place", "run", "sketch"])
 
-    return cut_up
+    return emit
 
 
 def _runs(b: pa.RecordBatch, parts: list) -> pa.RecordBatch:
@@ -147,6 +196,12 @@ def banded(a: np.ndarray, b: np.ndarray, k: int) -> int:
     return int(row[m - len(a) + k])
 
 
+def _bags(a: np.ndarray, b: np.ndarray) -> int:
+    """Words that stand in one text and not in the other; twice the distance at most."""
+    word, of = np.unique(np.concatenate([a, b]), return_inverse=True)
+    return int(np.abs(np.bincount(of[: len(a)], minlength=len(word)) - np.bincount(of[len(a) :], minlength=len(word))).sum())
+
+
 def _verify(share: float):
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -154,7 +209,7 @@ def _verify(share: float):
             for i, (x, y) in enumerate(zip(b.column("ws_a"), b.column("ws_b"))):
                 x, y = np.asarray(x.values), np.asarray(y.values)
                 k = math.floor(share * max(len(x), len(y)) + 1e-9)
-                e = banded(x, y, k)
+                e = banded(x, y, k) if _bags(x, y) <= 2 * k else k + 1
                 if e <= k:
                     keep.append(i)
                     dist.append(e)
@@ -169,46 +224,44 @@ def text_classes(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataF
     same words share a class.  Texts without a word belong to none."""
     rows = docs.select(F.col(key).alias("document"), F.col(text).alias("text")).where("text is not null")
     found = cut(rows.mapInArrow(_fingerprints, "document string, c1 bigint, c2 bigint, n int, ws array<bigint>, sketch array<bigint>").where("n > 0"))
-    cls = F.concat_ws("-", F.hex("c1"), F.hex("c2"), F.col("n").cast("string")).alias("cls")
-    members = found.select("document", cls).distinct()
+    same = ["c1", "c2", "n"]
     # one document stands for its class; only keys are shuffled to find it
-    lead = members.groupBy("cls").agg(F.min("document").alias("document"))
-    classes = found.select(cls, "document", "n", "ws", "sketch").join(lead, ["cls", "document"]).dropDuplicates(["cls"]).drop("document")
-    return members, classes
+    lead = found.groupBy(*same).agg(F.min("document").alias("document"))
+    classes = found.join(lead, [*same, "document"]).dropDuplicates(same)
+    classes = cut(classes.withColumn("cls", F.monotonically_increasing_id()))  # numbered once, as written
+    members = found.select("document", *same).distinct().join(classes.select("cls", *same), same).select("document", "cls")
+    return members, classes.select("cls", "n", "ws", "sketch")
 
 
 def near_classes(eval_classes: DataFrame, train_classes: DataFrame, share: float = SHARE) -> DataFrame:
     """``(a, b, distance)``: every evaluation class ``a`` and train class ``b``
     within the distance; ``a = b`` with distance 0 is among them."""
-    schema = "cls string, n int, place int, run bigint"
     spark = eval_classes.sparkSession
     tasks = 3 * spark.sparkContext.defaultParallelism
     ev = eval_classes.repartition(tasks, "cls")
-    tr = train_classes.repartition(tasks, "cls")
-    pieces = cut(ev.mapInArrow(_segments(share), schema))
-    runs = cut(tr.mapInArrow(_substrings(share), schema))
-    df = runs.groupBy("run").agg(F.count(F.lit(1)).alias("df"))
+    tr = cut(train_classes.repartition(tasks, "cls"))
+    pieces = cut(ev.mapInArrow(_segments(share), "cls bigint, n int, place int, run bigint"))
+    # how often the train texts hold each segment; others of their runs never leave their task
+    df = tr.mapInArrow(_counted_runs(share, run_filter(pieces.select("run"))), "run bigint, n bigint").groupBy("run").agg(F.sum("n").alias("df"))
     known = pieces.join(df, "run", "left").withColumn("df", F.coalesce("df", F.lit(0)))
     k = _edits_column(share)
     rank = F.row_number().over(Window.partitionBy("cls").orderBy("df", "run", "place"))
-    rare = known.withColumn("rank", rank).where((F.col("rank") <= k + 1) & (F.col("df") > 0))
+    rare = known.withColumn("rank", rank).where((F.col("rank") <= k + 1) & (F.col("df") > 0)).drop("rank", "df")
+    rare = cut(rare.join(ev.select("cls", "sketch"), "cls"))
+    runs = tr.mapInArrow(_wanted_runs(share, run_filter(rare.select("run"))), "cls bigint, n int, place int, run bigint, sketch array<bigint>")
     # lengths in bands of 1 / (1 - share): a partner is in the same band or the next
     band = lambda n: F.floor(F.log(n.cast("double")) / F.lit(-math.log(1 - share))).cast("int")
-    a = rare.select("run", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"), k.alias("k"), F.explode(F.array(band(F.col("n")) - 1, band(F.col("n")), band(F.col("n")) + 1)).alias("band"))
-    b = runs.select("run", F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"), band(F.col("n")).alias("band"))
-    close = (F.abs(F.col("pa") - F.col("pb")) <= F.col("k")) & (F.abs(F.col("na") - F.col("nb")) <= F.floor(F.greatest("na", "nb") * F.lit(share) + 1e-9))
-    pairs = a.join(b, ["run", "band"]).where(close).select("a", "b").distinct()
-    pairs = cut(pairs)
-    x = eval_classes.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
-    y = train_classes.select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
-    flips = sum((F.bit_count(F.col("sa")[i].bitwiseXOR(F.col("sb")[i])) for i in range(SKETCH)), F.lit(0))
+    bits = lambda p: [F.col("sketch")[i].alias(f"{p}{i}") for i in range(SKETCH)]
+    a = rare.select("run", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"), k.alias("k"), *bits("sa"), F.explode(F.array(band(F.col("n")) - 1, band(F.col("n")), band(F.col("n")) + 1)).alias("band"))
+    b = runs.select("run", F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"), *bits("sb"), band(F.col("n")).alias("band"))
     allowed = F.floor(F.greatest("na", "nb") * F.lit(share) + 1e-9)
-    likely = cut(pairs.join(x, "a").join(y, "b").where(flips <= 2 * allowed).select("a", "b"))
+    flips = sum((F.bit_count(F.col(f"sa{i}").bitwiseXOR(F.col(f"sb{i}"))) for i in range(SKETCH)), F.lit(0))
+    close = (F.abs(F.col("pa") - F.col("pb")) <= F.col("k")) & (F.abs(F.col("na") - F.col("nb")) <= allowed) & (flips <= 2 * allowed)
+    likely = cut(a.join(b, ["run", "band"]).where(close).select("a", "b").distinct())
     wa = eval_classes.select(F.col("cls").alias("a"), F.col("ws").alias("ws_a"))
     wb = train_classes.select(F.col("cls").alias("b"), F.col("ws").alias("ws_b"))
     full = likely.join(wa, "a").join(wb, "b").repartition(tasks, "a", "b")
-    found = full.mapInArrow(_verify(share), "a string, b string, distance int")
-    return found
+    return full.mapInArrow(_verify(share), "a bigint, b bigint, distance int")
 
 
 def _edits_column(share: float):
@@ -236,7 +289,7 @@ def overlaps(split: DataFrame, docs: DataFrame, share: float = SHARE) -> DataFra
     wanted = rows.select("document").distinct()
     texts = docs.select(hex_id(F.col("id")).alias("document"), "valuestring").join(wanted, "document", "left_semi")
     members, classes = text_classes(texts, "document", "valuestring")
-    members, classes = cut(members), cut(classes)
+    members = cut(members)
     of = cut(rows.join(members, "document"))
     sides = of.select("cls", "side").distinct()
     ev = classes.join(sides.where("side = 'eval'"), "cls", "left_semi")
