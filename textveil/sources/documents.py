@@ -28,8 +28,8 @@ def xml_clean(c: Column) -> Column:
 def read_texts(spark: SparkSession, path: str) -> DataFrame:
     """``(document_id, phase, text)`` of ``*.txt`` under a folder; the phase is the
     name of the folder where that is train or test."""
-    t = spark.read.option("wholetext", True).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").text(path)
-    t = t.select(F.input_file_name().alias("p"), xml_clean(F.col("value")).alias("text"))
+    t = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").load(path)
+    t = t.select(F.col("path").alias("p"), xml_clean(F.decode("content", "UTF-8")).alias("text"))
     parts = F.split("p", "/")
     phase = F.element_at(parts, -2)
     return t.select(F.url_decode(F.regexp_replace(F.element_at(parts, -1), r"\.txt$", "")).alias("document_id"), F.when(phase.isin("train", "test"), phase).alias("phase"), "text")
