@@ -16,22 +16,38 @@ def find_spans(text: Column, pattern: str, head: str = "", tail: str = "") -> Co
     ``head`` and ``tail`` are patterns of what a match holds before and after
     the wanted part (a capture group, in other words); they are cut off.
     """
-    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    return _let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda matches: F.when(F.size(matches) > 0, _place(text, matches, pattern, head, tail)).otherwise(F.expr("cast(array() as array<struct<begin:int,end:int,covered:string>>)")))
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _running(items: Column, step) -> Column:
+    """The state before each item, as ``array<string>``.
+
+    The states are strung together and split again: an accumulator that grows
+    by an array element a step would be copied, struct by struct, at each.
+    """
+    start = F.struct(F.lit(0).alias("v"), F.lit("").alias("s"))
+    walk = lambda acc, x: F.struct(step(acc["v"], x).alias("v"), F.concat(acc["s"], acc["v"].cast("string"), F.lit(" ")).alias("s"))
+    return F.split(F.aggregate(items, start, walk, lambda acc: acc["s"]), " ", -1)
+
+
+def _place(text: Column, matches: Column, pattern: str, head: str, tail: str) -> Column:
     gaps = F.split(text, pattern, -1)
-    pairs = F.zip_with(matches, F.slice(gaps, 1, F.size(matches)), lambda m, g: F.struct(m.alias("m"), F.length(g).alias("g")))
-    empty = F.expr("cast(array() as array<struct<begin:int,end:int,covered:string>>)")
+    pairs = F.zip_with(matches, F.slice(gaps, 1, F.size(matches)), lambda m, g: F.struct(F.length(m).alias("m"), F.length(g).alias("g")))
+    at = F.slice(_running(pairs, lambda pos, x: pos + x["g"] + x["m"]), 1, F.size(matches))
+    starts = F.zip_with(at, F.slice(gaps, 1, F.size(matches)), lambda p, g: p.cast("int") + F.length(g))
 
-    def step(acc: Column, x: Column) -> Column:
-        lo = acc["pos"] + x["g"]
-        hi = lo + F.length(x["m"])
-        cut_head = F.length(F.regexp_extract(x["m"], f"^(?:{head})", 0)) if head else F.lit(0)
-        cut_tail = F.length(F.regexp_extract(x["m"], f"(?:{tail})$", 0)) if tail else F.lit(0)
-        core = x["m"].substr(cut_head + 1, F.length(x["m"]) - cut_head - cut_tail)
-        span = F.struct((lo + cut_head).alias("begin"), (hi - cut_tail).alias("end"), core.alias("covered"))
-        return F.struct(hi.alias("pos"), F.concat(acc["out"], F.array(span)).alias("out"))
+    def span(lo: Column, m: Column) -> Column:
+        cut_head = F.length(F.regexp_extract(m, f"^(?:{head})", 0)) if head else F.lit(0)
+        cut_tail = F.length(F.regexp_extract(m, f"(?:{tail})$", 0)) if tail else F.lit(0)
+        core = m.substr(cut_head + 1, F.length(m) - cut_head - cut_tail) if head or tail else m
+        return F.struct((lo + cut_head).alias("begin"), (lo + F.length(m) - cut_tail).alias("end"), core.alias("covered"))
 
-    start = F.struct(F.lit(0).alias("pos"), empty.alias("out"))
-    return F.aggregate(pairs, start, step, lambda acc: acc["out"])
+    return F.zip_with(starts, matches, span)
 
 
 def overlaps(b1: Column, e1: Column, b2: Column, e2: Column) -> Column:
@@ -57,7 +73,7 @@ def fold_longest(spans: Column) -> Column:
         rest = F.filter(acc, lambda s: ~overlaps(s["begin"], s["end"], x["begin"], x["end"]))
         return F.array_sort(F.concat(rest, F.array(winner)), _by_place)
 
-    return F.aggregate(F.array_sort(spans), F.expr(f"cast(array() as array<{_FIELDS}>)"), step)
+    return _fold_clashing(spans, step)
 
 
 def fold_merge(spans: Column, source: str = "Merge overlapping entities") -> Column:
@@ -73,7 +89,28 @@ def fold_merge(spans: Column, source: str = "Merge overlapping entities") -> Col
         hull = F.struct(x["seq"].alias("seq"), lo.alias("begin"), hi.alias("end"), last["main_class"].alias("main_class"), last["sub_class"].alias("sub_class"), last["score"].alias("score"), F.lit(source).alias("source"))
         return F.array_sort(F.concat(rest, F.array(F.when(F.size(clash) == 0, x).otherwise(hull))), _by_place)
 
-    return F.aggregate(F.array_sort(spans), F.expr(f"cast(array() as array<{_FIELDS}>)"), step)
+    return _fold_clashing(spans, step)
+
+
+def _fold_clashing(spans: Column, step) -> Column:
+    """The fold over the spans that overlap another; those alone stay as they are.
+
+    A span alone never takes part in a clash, so leaving it out changes nothing,
+    and the fold, quadratic in what it keeps, sees few spans.
+    """
+    placed = F.transform(spans, lambda s: F.struct(s["begin"].alias("begin"), s["end"].alias("end"), s.alias("s")))
+
+    def split_up(items: Column) -> Column:
+        before = _running(items, lambda top, x: F.greatest(top, x["end"]))
+        after = F.concat(F.transform(F.slice(items, 2, F.size(items)), lambda x: x["begin"]), F.array(F.lit(2147483647)))
+        alone = F.zip_with(F.slice(before, 1, F.size(items)), F.zip_with(items, after, lambda x, n: F.struct(x["s"].alias("s"), n.alias("n"))), lambda m, x: F.struct(((m.cast("int") <= x["s"]["begin"]) & (x["n"] >= x["s"]["end"])).alias("alone"), x["s"].alias("s")))
+        pick = lambda rows, yes: F.transform(F.filter(rows, lambda x: x["alone"] == yes), lambda x: x["s"])
+        folded = lambda rows: F.aggregate(F.array_sort(pick(rows, False)), F.expr(f"cast(array() as array<{_FIELDS}>)"), step)
+        by_place = lambda arr: F.transform(F.array_sort(F.transform(arr, lambda s: F.struct(s["begin"].alias("begin"), s["end"].alias("end"), s.alias("s")))), lambda x: x["s"])
+        return _let(alone, lambda rows: F.when(F.exists(rows, lambda x: ~x["alone"]), by_place(F.concat(pick(rows, True), folded(rows)))).otherwise(pick(rows, True)))
+
+    none = F.expr(f"cast(array() as array<{_FIELDS}>)")
+    return F.when(F.size(spans) > 0, _let(F.array_sort(placed), split_up)).when(spans.isNotNull(), none)
 
 
 def _by_place(a: Column, b: Column) -> Column:

@@ -28,6 +28,8 @@ class Detector:
     sub_class: str
     head: str = ""
     tail: str = ""
+    #: What every match contains; texts without it are not searched.
+    needs: str = ""
 
 
 # Months as the date rule spells them.
@@ -36,26 +38,26 @@ _N = r"[^\p{L}\p{N}_]"
 _STUDY = r"\b[0-9\-A-Za-züöäß]+?\b\s*-?\s*Studie[^\p{L}\p{N}_]"
 _STUDY_TAIL = r"\s*-?\s*Studie[^\p{L}\p{N}_]"
 
-STUDY = Detector("study", _STUDY, "ID", "STUDYID", "", _STUDY_TAIL)
+STUDY = Detector("study", _STUDY, "ID", "STUDYID", "", _STUDY_TAIL, "Studie")
 RADIOLOGY = (
     Detector("day_month", r"[0-9]{2}\.[0-9]{2}\.(?:[0-9]{2,4})?", "Date", "DATE"),
     Detector("year", r"2[0-9]{3}", "Date", "DATE"),
-    Detector("ed_date", r"ED [0-9]{2}/[0-9]{2,4}", "Date", "DATE", "ED "),
+    Detector("ed_date", r"ED [0-9]{2}/[0-9]{2,4}", "Date", "DATE", "ED ", "", "ED "),
     Detector("month_year", r"[0-9]{2}/[0-9]{4}", "Date", "DATE"),
     Detector("month_name", rf"(?:{_MONTH}){_N}[0-9]{{4}}", "Date", "DATE"),
     Detector("extension", rf"{_N}8[0-9]{{4}}{_N}", "Contact", "PHONE", _N, _N),
     Detector("bracketed", r"\([0-9]{4}\)", "Contact", "PHONE", r"\(", r"\)"),
     Detector("seven_digits", rf"{_N}[0-9]{{3}}{_N}[0-9]{{4}}{_N}", "Contact", "PHONE", _N, _N),
     Detector("record", r"[A-Z][0-9]{2,7}/[0-9]{2}", "ID", "PATIENTID"),
-    Detector("staff", rf"(?:Befunderstellung[^\n]+von|Befundbesprechung[^\n]+vorab[^\n]+mit|Telefonische[^\n]+Befundübermittlung[^\n]+vorab[^\n]+an){_N}[^\n]+\n", "Name", "STAFF", rf"(?:Befunderstellung[^\n]+von|Befundbesprechung[^\n]+vorab[^\n]+mit|Telefonische[^\n]+Befundübermittlung[^\n]+vorab[^\n]+an){_N}", r"\n"),
+    Detector("staff", rf"(?:Befunderstellung[^\n]+von|Befundbesprechung[^\n]+vorab[^\n]+mit|Telefonische[^\n]+Befundübermittlung[^\n]+vorab[^\n]+an){_N}[^\n]+\n", "Name", "STAFF", rf"(?:Befunderstellung[^\n]+von|Befundbesprechung[^\n]+vorab[^\n]+mit|Telefonische[^\n]+Befundübermittlung[^\n]+vorab[^\n]+an){_N}", r"\n", "Befund"),
     STUDY,
 )
 POSTPROCESS = (
     Detector("age_years", r"(?i)[0-9]+\sJahre", "Age", "AGE", "", r"(?i)\sJahre"),
     Detector("age_year_of_life", r"(?i)[0-9]+\.\s(?:Lebensjahr|LJ)", "Age", "AGE", "", r"(?i)\.\s(?:Lebensjahr|LJ)"),
-    Detector("study", "(?i)" + _STUDY, "ID", "STUDYID", "", "(?i)" + _STUDY_TAIL),
+    Detector("study", "(?i)" + _STUDY, "ID", "STUDYID", "", "(?i)" + _STUDY_TAIL, "(?i)studie"),
 )
-MISSING = (Detector("study", "(?i)" + _STUDY, "ID", "STUDYID", "", "(?i)" + _STUDY_TAIL),)
+MISSING = (Detector("study", "(?i)" + _STUDY, "ID", "STUDYID", "", "(?i)" + _STUDY_TAIL, "(?i)studie"),)
 CONTACTS = (
     Detector("email", r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+\.[A-Za-z]{2,}", "Contact", "EMAIL"),
     Detector("ip", r"\b[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\b", "Contact", "IPADDRESS"),
@@ -72,6 +74,8 @@ IMAGE = r"(?i)ima.*?[0-9]+/[0-9]+(?:-[0-9]+)?"
 
 def spans_of(text: Column, d: Detector, order: int, source: str, score: float = 1.0) -> Column:
     found = find_spans(text, d.pattern, d.head, d.tail)
+    if d.needs:
+        found = F.when(text.rlike(d.needs), found).when(text.isNotNull(), F.expr("cast(array() as array<struct<begin:int,end:int,covered:string>>)"))
     return F.transform(
         found,
         lambda s, i: F.struct(

@@ -21,8 +21,16 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def texts(spark: SparkSession, d: str, name: str) -> DataFrame:
+    """A table for work within rows: spread out where its files are too few to
+    keep all cores busy (one small file), as they lie otherwise."""
+    df = table(spark, d, name)
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) * 2 < cores else df
+
+
 def reports(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "radiology_df").where("text is not null").select(F.col("report_row_id").alias("doc"), "text", "status", "diagnostic_report_id", "per_number", "issued_at", "modality")
+    return texts(spark, d, "radiology_df").where("text is not null").select(F.col("report_row_id").alias("doc"), "text", "status", "diagnostic_report_id", "per_number", "issued_at", "modality")
 
 
 def _spans(df: DataFrame, detectors, source="rules") -> DataFrame:
@@ -59,7 +67,7 @@ def detect_radiology_rules(spark, d):
 
 @query
 def detect_postprocess_rules(spark, d):
-    return _out(_spans(table(spark, d, "documents").where("text is not null").select(F.col("doc_id").alias("doc"), "text"), detect.POSTPROCESS + detect.MISSING).select("doc", "seq", "begin", "end", "main_class", "sub_class", "covered"))
+    return _out(_spans(texts(spark, d, "documents").where("text is not null").select(F.col("doc_id").alias("doc"), "text"), detect.POSTPROCESS + detect.MISSING).select("doc", "seq", "begin", "end", "main_class", "sub_class", "covered"))
 
 
 @query
@@ -153,7 +161,7 @@ def date_text(day: Column, k: Column) -> Column:
 
 
 def _dates(spark, d) -> DataFrame:
-    o = table(spark, d, "orders")
+    o = texts(spark, d, "orders")
     return o.select(F.col("o_orderkey").alias("doc"), F.col("o_custkey").alias("patient"), date_text(F.col("o_orderdate"), F.col("o_orderkey") % 10).alias("covered"), (F.col("o_orderkey") % 29 - 14).cast("int").alias("days"), (F.col("o_orderkey") % 5 - 2).cast("int").alias("years"))
 
 
@@ -447,7 +455,7 @@ def distinct_selection(spark, d):
 @query
 def bundle_rewrite(spark, d):
     """Resources of a bundle with their text rewritten, those without a rewrite unchanged."""
-    r = table(spark, d, "resource").select("resource_row_id", "id", "resource_type", "valuestring")
+    r = texts(spark, d, "resource").select("resource_row_id", "id", "resource_type", "valuestring")
     deid = rewrite.deidentify(r.where("valuestring is not null"), "resource_row_id", "valuestring", detect.CONTACTS, {})
     return r.drop("valuestring").join(deid, "resource_row_id", "left").select("resource_row_id", "id", F.col("deid_text").alias("valuestring"))
 
