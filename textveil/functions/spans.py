@@ -36,18 +36,17 @@ def _running(items: Column, step) -> Column:
 
 
 def _place(text: Column, matches: Column, pattern: str, head: str, tail: str) -> Column:
-    gaps = F.split(text, pattern, -1)
-    pairs = F.zip_with(matches, F.slice(gaps, 1, F.size(matches)), lambda m, g: F.struct(F.length(m).alias("m"), F.length(g).alias("g")))
-    at = F.slice(_running(pairs, lambda pos, x: pos + x["g"] + x["m"]), 1, F.size(matches))
-    starts = F.zip_with(at, F.slice(gaps, 1, F.size(matches)), lambda p, g: p.cast("int") + F.length(g))
+    lengths = F.transform(F.slice(F.split(text, pattern, -1), 1, F.size(matches)), lambda g: F.length(g))
+    pairs = F.zip_with(lengths, matches, lambda g, m: F.struct(g.alias("g"), F.length(m).alias("n"), m.alias("m")))
 
-    def span(lo: Column, m: Column) -> Column:
+    def span(p: Column, x: Column) -> Column:
+        lo, m = p.cast("int") + x["g"], x["m"]
         cut_head = F.length(F.regexp_extract(m, f"^(?:{head})", 0)) if head else F.lit(0)
         cut_tail = F.length(F.regexp_extract(m, f"(?:{tail})$", 0)) if tail else F.lit(0)
-        core = m.substr(cut_head + 1, F.length(m) - cut_head - cut_tail) if head or tail else m
-        return F.struct((lo + cut_head).alias("begin"), (lo + F.length(m) - cut_tail).alias("end"), core.alias("covered"))
+        core = m.substr(cut_head + 1, x["n"] - cut_head - cut_tail) if head or tail else m
+        return F.struct((lo + cut_head).alias("begin"), (lo + x["n"] - cut_tail).alias("end"), core.alias("covered"))
 
-    return F.zip_with(starts, matches, span)
+    return _let(pairs, lambda ps: F.zip_with(F.slice(_running(ps, lambda pos, x: pos + x["g"] + x["n"]), 1, F.size(ps)), ps, span))
 
 
 def overlaps(b1: Column, e1: Column, b2: Column, e2: Column) -> Column:
