@@ -150,7 +150,8 @@ _BEHIND: dict[str, list[re.Pattern]] = {
 }
 _TYPES = {"n": "name", "p": "phone", "i": "id_number", "s": "street"}
 _AT = ("@", "(at)", "[at]", "( at )", "[ at ]")
-_NO_NAMES = frozenset("Der Die Das Ein Eine Laut Für Bei Nach Am Im In Es Z Kein Keine Befund".split())  # fixed values
+# Words that no name begins with.
+_NO_NAMES = frozenset("Der Die Das Ein Eine Laut Für Bei Nach Am Im In Es Z Kein Keine Befund Dr Prof Hr Fr Herr Herrn Frau Mr Mrs Ms Mme PD OA OÄ Pat Patient Patientin".split())
 
 
 def _automaton() -> ahocorasick.Automaton:
