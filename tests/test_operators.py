@@ -1,5 +1,8 @@
 import math
+import random
+from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -119,3 +122,27 @@ def test_similarity_and_statistics(spark):
     assert similarity.distinct_selection(sel, "st", "doc", "text", k=3, min_chars=1).count() == 3
     m = {r.doc: r for r in textstats.document_metrics(df, "doc", "text").collect()}
     assert (m[1].tokens, m[1].sentences, m[1].mean_word_length) == (3, 1, 1.0)
+
+
+def test_distinct_selection_takes_all_texts(spark):
+    rows = [("s", i, "gleich" if i % 6 else f"einzeln {i}") for i in range(2500)]
+    df = spark.createDataFrame(rows, "st string, doc int, text string")
+    alone = {i for i in range(2500) if i % 6 == 0}
+    got = {r.doc for r in similarity.distinct_selection(df, "st", "doc", "text", k=len(alone) + 1, min_chars=1).collect()}
+    assert got == alone | {1}
+
+
+def test_distinct_selection_against_plain_average_linkage(spark):
+    rng = random.Random(5)
+    texts = ["\n".join(f"z{int(rng.random() ** 2 * 40)}" for _ in range(rng.randrange(2, 9))) for _ in range(70)]
+    texts += texts[:15]
+    bags = [Counter(t.split("\n")) for t in texts]
+    norm = lambda b: math.sqrt(sum(v * v for v in b.values()))
+    d = np.array([[round(1 - sum(v * y[t] for t, v in x.items()) / norm(x) / norm(y), 12) for y in bags] for x in bags])
+    groups = [[i] for i in range(len(texts))]
+    while len(groups) > 12:
+        _, i, j = min((round(d[np.ix_(a, b)].mean(), 9), i, j) for i, a in enumerate(groups) for j, b in enumerate(groups) if i < j)
+        groups[i] = sorted(groups[i] + groups.pop(j))
+    want = {min(g, key=lambda x: (-round(d[x, g].sum(), 9), x)) for g in groups}
+    df = spark.createDataFrame([("s", i, t) for i, t in enumerate(texts)], "st string, doc int, text string")
+    assert {r.doc for r in similarity.distinct_selection(df, "st", "doc", "text", k=12, min_chars=1).collect()} == want

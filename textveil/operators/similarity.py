@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -30,54 +31,101 @@ def line_cosine(df: DataFrame, key: str, text: str, min_cosine: float = 0.0) ->
     return dots.join(na, "a").join(nb, "b").select("a", "b", (F.col("dot") / (F.col("na") * F.col("nb"))).alias("cosine")).where(F.col("cosine") > min_cosine)
 
 
-def average_linkage(dist: np.ndarray, k: int) -> np.ndarray:
-    """Labels of ``k`` clusters by average linkage (Lance-Williams updates)."""
+def average_linkage(dist: np.ndarray, k: int, weight: np.ndarray | None = None) -> np.ndarray:
+    """Labels of ``k`` clusters by average linkage (Lance-Williams updates).
+
+    ``dist`` is overwritten; ``weight`` counts the texts each row stands for.  Of
+    equal distances the first by row, then by column, is merged.  Each row keeps
+    its nearest later row, so a merge is a few vector operations.
+    """
     n = len(dist)
-    d = dist.astype(float).copy()
-    np.fill_diagonal(d, np.inf)
-    size, label, alive = np.ones(n), np.arange(n), np.ones(n, bool)
+    d = dist
+    d[np.diag_indices(n)] = np.inf
+    size, label = (np.ones(n) if weight is None else weight.astype(float)), np.arange(n)
+    near, low = np.zeros(n, np.int64), np.full(n, np.inf)
+
+    def look(r: int) -> None:
+        if r + 1 < n:
+            near[r] = r + 1 + int(d[r, r + 1 :].argmin())
+            low[r] = d[r, near[r]]
+
+    for r in range(n):
+        look(r)
     for _ in range(max(0, n - k)):
-        i, j = np.unravel_index(int(d.argmin()), d.shape)
-        i, j = min(i, j), max(i, j)
+        i = int(low.argmin())
+        j = int(near[i])
         new = (size[i] * d[i] + size[j] * d[j]) / (size[i] + size[j])
+        new[i] = np.inf
         d[i], d[:, i] = new, new
-        d[i, i] = np.inf
         d[j], d[:, j] = np.inf, np.inf
         size[i] += size[j]
-        alive[j] = False
         label[label == j] = i
+        low[j] = np.inf
+        stale = ((near == i) | (near == j)) & np.isfinite(low)
+        closer = ~stale & ((new < low) | ((new == low) & (i < near))) & (np.arange(n) < i)
+        near[closer], low[closer] = i, new[closer]
+        for r in {i, *np.flatnonzero(stale).tolist()}:
+            look(r)
     return np.unique(label, return_inverse=True)[1]
 
 
-def distinct_selection(df: DataFrame, stratum: str, key: str, text: str, k: int = 50, min_chars: int = 1500, most: int = 2000) -> DataFrame:
+def _select(bags: list[list[str]], weight: np.ndarray, k: int) -> list[int]:
+    """Places of the representatives of ``k`` clusters of weighted classes."""
+    terms: dict[str, int] = {}
+    count = [Counter(terms.setdefault(t, len(terms)) for t in ls) for ls in bags]
+    n = len(bags)
+    row = np.repeat(np.arange(n), [len(c) for c in count])
+    term = np.fromiter((t for c in count for t in c), np.int64, len(row))
+    value = np.fromiter((v for c in count for v in c.values()), float, len(row))
+    norm = np.sqrt(np.bincount(row, value * value, n))
+    value /= norm[row]
+    by_term = np.argsort(term, kind="stable")
+    edge = np.searchsorted(term[by_term], np.arange(len(terms) + 1))
+    dist = np.ones((n, n))
+    for r, t, v in zip(row, term, value):  # only texts that share a line are nearer than 1
+        at = by_term[edge[t] : edge[t + 1]]
+        dist[r, row[at]] -= v * value[at]
+    np.clip(dist, 0, None, out=dist)
+    label = average_linkage(dist, k, weight)
+    del dist
+    # the sum of distances in the cluster, from the sum of its vectors
+    slot = label[row] * max(1, len(terms)) + term
+    keys, where = np.unique(slot, return_inverse=True)
+    total = np.bincount(where, value * weight[row], len(keys))
+    near = np.bincount(row, value * total[where], n) + (norm == 0)
+    far = np.round(np.bincount(label, weight)[label] - near, 9)
+    best: dict[int, int] = {}
+    for i, c in enumerate(label):
+        if c not in best or far[i] > far[best[c]]:
+            best[c] = i
+    return sorted(best.values())
+
+
+def distinct_selection(df: DataFrame, stratum: str, key: str, text: str, k: int = 50, min_chars: int = 1500) -> DataFrame:
     """``(stratum, key)``: per stratum the member of each of ``k`` clusters that is
     farthest from the rest of its cluster (the first of equals).
 
-    The clusters are those of at most ``most`` texts per stratum, the first by
-    hash: the matrix of distances must fit one task.
+    All texts take part.  Texts of the same lines form a class that is clustered
+    once, with its number of texts as weight; one task holds the distances of a
+    stratum's classes (8 bytes a pair).
     """
-    from pyspark.sql import Window
-
-    long = df.where(F.length(text) >= min_chars)
-    w = Window.partitionBy(stratum).orderBy(F.xxhash64(key), key)
-    few = long.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= most)
-    lines = few.select(stratum, key, F.filter(F.split(F.lower(F.col(text)), r"[\n\r]+"), lambda x: x != "").alias("lines"))
+    lines = F.array_sort(F.filter(F.split(F.lower(F.col(text)), r"[\n\r]+"), lambda x: x != ""))
+    long = df.where(F.length(text) >= min_chars).select(stratum, key, lines.alias("lines"))
+    # a text without lines is like no other
+    classes = long.groupBy(stratum, "lines", F.when(F.size("lines") == 0, F.col(key)).alias("_alone")).agg(F.array_sort(F.collect_list(key)).alias("members")).drop("_alone")
 
     def pick(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(key).reset_index(drop=True)
-        terms: dict[str, int] = {}
-        rows = [(i, terms.setdefault(t, len(terms))) for i, ls in enumerate(pdf["lines"]) for t in ls]
-        m = np.zeros((len(pdf), max(1, len(terms))), np.float32)
-        for i, t in rows:
-            m[i, t] += 1
-        m /= np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-12)
-        dist = np.clip(1 - m @ m.T, 0, None)
-        label = average_linkage(dist, k)
-        best = []
-        for c in np.unique(label):
-            at = np.flatnonzero(label == c)
-            best.append(at[int(dist[np.ix_(at, at)].sum(1).argmax())])
-        return pdf.iloc[sorted(best)][[stratum, key]]
+        members = sorted(zip(pdf["members"], pdf["lines"]), key=lambda x: x[0][0])
+        weight = np.array([len(m) for m, _ in members])
+        if len(members) > k:
+            chosen = [members[i][0][0] for i in _select([ls for _, ls in members], weight, k)]
+        else:  # equal texts merge, class by class, until k clusters are left
+            chosen, merges = [], max(0, int(weight.sum()) - k)
+            for m, _ in members:
+                gone = min(merges, len(m) - 1)
+                merges -= gone
+                chosen += [m[0], *m[1 + gone :]]
+        return pd.DataFrame({stratum: [pdf[stratum].iloc[0]] * len(chosen), key: sorted(chosen)})
 
     schema = df.select(stratum, key).schema
-    return lines.groupBy(stratum).applyInPandas(pick, schema)
+    return classes.groupBy(stratum).applyInPandas(pick, schema)
