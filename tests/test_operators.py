@@ -1,6 +1,7 @@
 import math
 import random
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -146,3 +147,30 @@ def test_distinct_selection_against_plain_average_linkage(spark):
     want = {min(g, key=lambda x: (-round(d[x, g].sum(), 9), x)) for g in groups}
     df = spark.createDataFrame([("s", i, t) for i, t in enumerate(texts)], "st string, doc int, text string")
     assert {r.doc for r in similarity.distinct_selection(df, "st", "doc", "text", k=12, min_chars=1).collect()} == want
+
+
+def test_line_classes_are_compared_once(spark):
+    rng = random.Random(8)
+    texts = ["\n".join(f"z{int(rng.random() ** 2 * 25)}" for _ in range(rng.randrange(1, 9))) for _ in range(60)]
+    rows = list(enumerate(texts + [t.upper() for t in texts[:20]] + [texts[0]] * 30)) + [(900, None), (901, "\n")]
+    df = spark.createDataFrame(rows, "doc long, text string")
+    classes = similarity.line_classes(df, "doc", "text")
+    first = {}
+    of = {r.doc: first.setdefault(r["class"], r.doc) for r in classes.orderBy("doc").collect()}
+    assert set(of) == set(range(110)) and of[60] == of[0] == of[109]
+    for least in (0.0, 0.3):
+        got = {(r.a, r.b): r.cosine for r in similarity.class_cosine(classes, "doc", least).collect()}
+        want = {(r.a, r.b): r.cosine for r in similarity.line_cosine(df, "doc", "text", least).collect()}
+        assert set(got) == {p for p in want if p[0] in first.values() and p[1] in first.values()}
+        assert all(abs(v - want[p]) < 1e-9 for p, v in got.items())
+        spread = {(a, b) for a in of for b in of if a < b and (of[a] == of[b] or tuple(sorted((of[a], of[b]))) in got)}
+        assert spread == set(want)
+
+
+@pytest.mark.skipif(not Path("/root/testdata/sf0.001").exists(), reason="no test tables")
+def test_line_classes_hold_all_tables(spark):
+    from textveil.plans import catalog
+
+    d = "/root/testdata/sf0.001"
+    got = {r.table_name: r["count"] for r in catalog.Q["line_cosine_members"](spark, d).groupBy("table_name").count().collect()}
+    assert got == {name: catalog.table(spark, d, name).where(F.col(text).rlike(r"[^\n\r]")).count() for name, _, text in catalog.TEXT_TABLES}

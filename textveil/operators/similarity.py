@@ -6,9 +6,11 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from textveil.session import cut
+
 
 def line_terms(df: DataFrame, key: str, text: str) -> DataFrame:
     """``(key, term, tf)``: lines in lower case, counted."""
@@ -19,8 +21,8 @@ def line_terms(df: DataFrame, key: str, text: str) -> DataFrame:
 def line_cosine(df: DataFrame, key: str, text: str, min_cosine: float = 0.0) -> DataFrame:
     """``(a, b, cosine)``, a < b, of documents that share a line.
 
-    Documents of the same lines form a class and are compared once; a pair
-    between classes stands for their members (``line_classes`` tells them).
+    Every pair comes out, equal documents included; ``class_cosine`` compares
+    documents of the same lines once.
     """
     terms = line_terms(df, key, text)
     norm = terms.groupBy(key).agg(F.sqrt(F.sum(F.col("tf") * F.col("tf"))).alias("norm"))
@@ -31,6 +33,42 @@ def line_cosine(df: DataFrame, key: str, text: str, min_cosine: float = 0.0) ->
     return dots.join(na, "a").join(nb, "b").select("a", "b", (F.col("dot") / (F.col("na") * F.col("nb"))).alias("cosine")).where(F.col("cosine") > min_cosine)
 
 
+def line_classes(df: DataFrame, key: str, text: str) -> DataFrame:
+    """``(key, class, lines)``: documents of the same lines, as often, have one class.
+
+    The class is a digest of the sorted lines, worked out within the row; null
+    texts and texts without lines have none.
+    """
+    lines = F.array_sort(F.filter(F.split(F.lower(F.col(text)), r"[\n\r]+"), lambda x: x != ""))
+    return df.select(key, lines.alias("lines")).where(F.size("lines") > 0).select(key, F.sha2(F.concat_ws("\n", "lines"), 256).alias("class"), "lines")
+
+
+def class_cosine(classes: DataFrame, key: str, min_cosine: float = 0.0) -> DataFrame:
+    """``(a, b, cosine)``, a < b, of the classes of ``line_classes`` that share a line.
+
+    ``a`` and ``b`` are the smallest keys of their classes.  Members of a class
+    have cosine 1 with one another and the class's cosine with all others.
+
+    Lines are ordered from rare to common.  Two classes above ``min_cosine``
+    share one of each one's lines before those whose squares reach no further
+    than ``min_cosine``, so only those lines make pairs.
+    """
+    reps = classes.groupBy("class").agg(F.min(key).alias("c"), F.first("lines").alias("lines"))
+    terms = reps.select("c", F.explode("lines").alias("term")).groupBy("c", "term").agg(F.count(F.lit(1)).cast("double").alias("tf"))
+    terms = cut(terms)
+    norm = terms.groupBy("c").agg(F.sqrt(F.sum(F.col("tf") * F.col("tf"))).alias("norm"))
+    common = terms.groupBy("term").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    rest = Window.partitionBy("c").orderBy(F.desc("df"), F.desc("term"))
+    weighed = terms.join(common, "term").join(norm, "c").select("c", "term", "df", (F.col("tf") / F.col("norm")).alias("w"))
+    weighed = cut(weighed.withColumn("behind", F.sum(F.col("w") * F.col("w")).over(rest)))
+    makes = weighed.where(F.col("behind") > min_cosine * min_cosine - 1e-9).select("c", "term")
+    pairs = makes.withColumnRenamed("c", "a").join(makes.withColumnRenamed("c", "b"), "term").where("a < b").select("a", "b").distinct()
+    bag = weighed.groupBy("c").agg(F.map_from_entries(F.collect_list(F.struct("term", "w"))).alias("v"))
+    both = pairs.join(bag.select(F.col("c").alias("a"), F.col("v").alias("va")), "a").join(bag.select(F.col("c").alias("b"), F.col("v").alias("vb")), "b")
+    dot = F.aggregate(F.map_entries("va"), F.lit(0.0), lambda acc, x: acc + x["value"] * F.coalesce(F.try_element_at("vb", x["key"]), F.lit(0.0)))
+    return both.select("a", "b", dot.alias("cosine")).where(F.col("cosine") > min_cosine)
+
+
 def average_linkage(dist: np.ndarray, k: int, weight: np.ndarray | None = None) -> np.ndarray:
     """Labels of ``k`` clusters by average linkage (Lance-Williams updates).
 

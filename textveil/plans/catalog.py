@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -440,12 +442,35 @@ def corpus_metrics(spark, d):
 
 @query
 def line_cosine_pairs(spark, d):
-    """Classes of benchmark items and documents by common lines."""
+    """Benchmark items and short texts made from supplier, the rows the SQL restates;
+    ``line_cosine_texts`` compares the text tables."""
     b = table(spark, d, "benchmark").select(F.col("item_id").alias("doc"), "text")
     x = table(spark, d, "supplier").select((F.col("s_suppkey") + 1000000).alias("doc"), F.concat_ws("\n", F.element_at(F.split("s_name", "0"), -1), F.concat(F.lit("nation "), F.col("s_nationkey")), F.concat(F.lit("bal "), (F.col("s_acctbal") / 1000).cast("int"))).alias("text"))
     return similarity.line_cosine(b.unionByName(x), "doc", "text", 0.3).select("a", "b", F.round("cosine", 6).alias("cosine"))
 
 
+TEXT_TABLES = (("benchmark", "item_id", "text"), ("documents", "doc_id", "text"), ("radiology_df", "report_row_id", "text"), ("resource", "resource_row_id", "valuestring"))
+
+
+def _line_classes(spark, d) -> DataFrame:
+    """Classes of all texts; the key is 4 x the row's id + the number of its table."""
+    parts = [texts(spark, d, name).select((F.col(key).cast("bigint") * 4 + n).alias("doc"), F.col(text).alias("text")) for n, (name, key, text) in enumerate(TEXT_TABLES)]
+    return similarity.line_classes(reduce(DataFrame.unionByName, parts), "doc", "text")
+
+
+@query
+def line_cosine_members(spark, d):
+    """The class of every text with lines."""
+    names = F.array(*[F.lit(t[0]) for t in TEXT_TABLES])
+    return _line_classes(spark, d).select(F.element_at(names, (F.col("doc") % 4 + 1).cast("int")).alias("table_name"), F.floor(F.col("doc") / 4).alias("row_id"), F.col("class").alias("class_id"))
+
+
+@query
+def line_cosine_texts(spark, d):
+    """Classes of all texts by common lines, each named by its smallest key."""
+    return similarity.class_cosine(_line_classes(spark, d), "doc", 0.3).select("a", "b", F.round("cosine", 6).alias("cosine"))
+
+
 @query
 def distinct_selection(spark, d):
     r = reports(spark, d).where("modality is not null")
