@@ -1,3 +1,6 @@
+from datetime import datetime, timedelta
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -29,6 +32,43 @@ def test_birthdate_and_age(spark):
     assert [r.x for r in a] == ["47", None, "45 Jahre"]
 
 
+def moved_birthdate(text, days, years):
+    """By datetime: read in the shape's format, replace the year, add days, write alike."""
+    month = {m: f"{i:02d}" for i, m in enumerate(dates.MONTHS, 1)}
+    words = text.split(" ")
+    if len(words) == 3:  # d. Month yyyy
+        text = f"{words[0]} {month[words[1]]} {words[2]}"
+    for form in ("%d.%m.%Y", "%Y-%m-%d", "%d/%m/%Y", "%d. %m %Y", "%d.%m.%y", "%d.%m.", "%d%m.%Y", "%d."):
+        try:
+            if form == "%d%m.%Y" and text[0] != "1":  # MM.yyyy is read as d, M, yyyy where it can be
+                continue
+            day = datetime.strptime(text, form)
+            new = (day.replace(year=day.year + years) + timedelta(days=days)).strftime(form)
+        except ValueError:
+            continue
+        if len(words) == 3:
+            d, m, y = new.split(" ")
+            return f"{d} {dates.MONTHS[int(m) - 1]} {y}"
+        return new
+    return None
+
+
+def test_birthdates_of_every_shape(spark):
+    cases = {"20.07.97": "24.07.99", "20.07.": "24.07.", "20. Juli 1997": "24. Juli 1999", "29. Februar 1996": None, "29.02.": None, "12.1997": "0502.1999", "07.1997": None, "9.": "13.", "kein Datum": None}
+    df = spark.createDataFrame([(k,) for k in cases], "d string").select("d", dates.shift_birthdate(F.col("d"), F.lit(4), F.lit(2)).alias("x"))
+    assert {r.d: r.x for r in df.collect()} == cases == {k: moved_birthdate(k, 4, 2) for k in cases}
+
+
+@pytest.mark.skipif(not Path("/root/testdata/sf0.001").exists(), reason="no test tables")
+def test_birthdates_of_all_rows(spark):
+    from textveil.plans import catalog
+
+    d = "/root/testdata/sf0.001"
+    given = {r.doc: (r.covered, r.days, r.years) for r in catalog._dates(spark, d).collect()}
+    got = {r.doc: (r.covered, r.shifted) for r in catalog.Q["shift_birthdates_all"](spark, d).collect()}
+    assert got == {k: (text, moved_birthdate(text, days, years)) for k, (text, days, years) in given.items()}
+
+
 @pytest.mark.parametrize("days", [1, 14, -30])
 def test_there_and_back(spark, days):
     df = spark.createDataFrame([("20.07.2021",), ("2019-08-15",), ("01/12/2020",)], "d string")
