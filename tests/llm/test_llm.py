@@ -46,6 +46,25 @@ def test_components_and_increments(spark):
     assert splits.merge_components(df.limit(0)).count() == 0
 
 
+def test_second_run_keeps_splits_and_quarantines_merges(spark):
+    row = lambda i, patient: (i, "radio", patient, hx(i), None, None, None, None)
+    lookup = spark.createDataFrame([], "id string, identifier_0_value string")
+    mapping = lambda *pairs: spark.createDataFrame([("D", n, hx(i)) for n, i in pairs], "resource_type string, per_number string, id string")
+    first = [row(1, "10"), row(2, "20"), row(3, "30"), row(4, "40"), row(5, "50"), row(6, None), row(7, "70")]
+    rows, known = splits.persons(spark.createDataFrame(first, SPLIT), lookup, mapping(("70", 7)))
+    roots = {r.split_id: r.root for r in rows.collect()}
+    gave = {1: "train", 2: "test", 3: "train", 4: "train", 5: "test", 6: "test", 7: "validation"}
+    prior = spark.createDataFrame([(roots[i] or f"r{i}", p) for i, p in gave.items()], "root string, new_phase string")
+    # 1 and 2 (split differently) and 3 and 4 (alike) become one; 5 gets a smaller root, 6 a key
+    second = [row(1, "10"), row(2, "20"), row(3, "30"), row(4, "40"), row(5, "50"), row(6, None), row(7, "70"), row(8, "80")]
+    now, comps = splits.persons(spark.createDataFrame(second, SPLIT), lookup, mapping(("10", 2), ("30", 4), ("5", 5), ("6", 6)), known)
+    got = {r.split_id: (r.new_phase, r.state) for r in splits.assign_splits(now, prior=prior, components=comps).collect()}
+    assert {i: s for i, (_, s) in got.items()} == {1: "quarantined", 2: "quarantined", 3: "kept", 4: "kept", 5: "kept", 6: "kept", 7: "kept", 8: "new"}
+    assert got[1][0] == got[2][0] and {i: got[i][0] for i in range(3, 8)} == {i: gave[i] for i in range(3, 8)}
+    with pytest.raises(ValueError):
+        splits.assign_splits(now, prior=prior)
+
+
 def test_persons_and_assignment(spark):
     rows = [(1, "radio", "PER00007", hx(1) + ".txt", "train", None, None, None), (2, "Radio", " 7.0", hx(2), " TEST", None, None, None), (3, "patho", hx(99).upper(), hx(3), "dev", None, None, None), (4, None, "8", hx(3), "train", None, None, None),
             (5, None, None, None, None, None, None, None), (6, "radio", "55", hx(6), "train", None, None, None), (6, "radio", "55", hx(6), "train", None, None, None), (7, "x", "", hx(7), "", None, None, None)]

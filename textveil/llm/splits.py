@@ -103,12 +103,15 @@ def split_conflicts(persons_rows: DataFrame) -> DataFrame:
     return persons_rows.where("phase is not null").join(mixed, "root", "left_semi").select("split_id", "person_no")
 
 
-def assign_splits(persons_rows: DataFrame, proportions: dict[str, float] | None = None, prior: DataFrame | None = None) -> DataFrame:
+def assign_splits(persons_rows: DataFrame, proportions: dict[str, float] | None = None, prior: DataFrame | None = None, components: DataFrame | None = None) -> DataFrame:
     """The new phase of every row: ``(split_id, root, person_no, phase, new_phase, state)``.
 
-    * A component whose rows (or whose ``prior(root, new_phase)``) name one
-      phase keeps it: state ``kept``.
-    * A component with rows of several phases is in conflict: state
+    * A component whose rows and whose ``prior`` name one phase keeps it: state
+      ``kept``.  ``prior(root, new_phase)`` is what an earlier run gave out; its
+      roots are led to the present ones by ``components``, the component table
+      of this run, so components keep their split when their root changes.
+    * A component with several phases, in its rows or by merging components
+      that were split differently before, is in conflict: state
       ``quarantined``.  It loses its phases and is placed like a new one, so
       that no person stays in two phases, and can be left out by its state.
     * Others are ``new`` and fill what each phase still lacks.
@@ -123,11 +126,15 @@ def assign_splits(persons_rows: DataFrame, proportions: dict[str, float] | None
     rows = persons_rows.withColumn("root", F.coalesce("root", F.concat(F.lit("r"), F.col("split_id").cast("string"))))
     comp = rows.groupBy("root").agg(F.count(F.lit(1)).alias("size"), F.min("phase").alias("p"), F.max("phase").alias("q"))
     if prior is not None:
-        comp = comp.join(prior.select("root", F.col("new_phase").alias("before")), "root", "left")
-    else:
-        comp = comp.withColumn("before", F.lit(None).cast("string"))
-    comp = comp.withColumn("state", F.when(F.col("p") < F.col("q"), "quarantined").when(F.coalesce("before", "p").isNull(), "new").when(F.col("before").isNotNull() & F.col("p").isNotNull() & (F.col("before") != F.col("p")), "quarantined").otherwise("kept"))
-    comp = comp.withColumn("keeps", F.when(F.col("state") == "kept", F.coalesce("before", "p"))).withColumn("block", F.pmod(F.xxhash64("root"), F.lit(BLOCKS)).cast("int"))
+        if components is None:
+            raise ValueError("prior needs the component table of this run")
+        # the root of a row without any key is its own number; the row may have a key by now
+        now = components.select("node", "root").union(rows.select(F.concat(F.lit("r"), F.col("split_id").cast("string")), "root")).distinct()
+        earlier = prior.select(F.col("root").alias("node"), "new_phase").distinct().join(now, "node")
+        comp = comp.join(earlier.groupBy("root").agg(F.min("new_phase").alias("bp"), F.max("new_phase").alias("bq")), "root", "left")
+        comp = comp.withColumns({"p": F.least("p", "bp"), "q": F.greatest("q", "bq")}).drop("bp", "bq")
+    comp = comp.withColumn("state", F.when(F.col("p") < F.col("q"), "quarantined").when(F.col("p").isNull(), "new").otherwise("kept"))
+    comp = comp.withColumn("keeps", F.when(F.col("state") == "kept", F.col("p"))).withColumn("block", F.pmod(F.xxhash64("root"), F.lit(BLOCKS)).cast("int"))
     comp = cut(comp)
 
     held = {r["keeps"]: r["n"] for r in comp.groupBy("keeps").agg(F.sum("size").alias("n")).collect()}
