@@ -293,6 +293,19 @@ def test_leaks_against_brute_force(spark, monkeypatch):
     assert leakage.leaked(d.limit(0), it).count() == 0 and leakage.leaked(d, it.limit(0)).count() == 0
 
 
+def test_edited_copies_are_found_whatever_else_is_there(spark):
+    item = [f"wort{i}" for i in range(40)]
+    edit = lambda at: " ".join(f"anders{i}" if i % 10 in at else w for i, w in enumerate(item))
+    texts = {1: edit({9}), 2: " ".join(f"fremd{i}" for i in range(40)), 3: " ".join([*(f"fremd{i}" for i in range(30)), *item[:5]])}
+    it = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+    for more in ({}, {4: " ".join(item)}, {4: " ".join(item), 5: edit({4, 5})}):
+        d = spark.createDataFrame([*texts.items(), *more.items()], "doc_id long, text string")
+        got = {r.doc_id: r.longest_run for r in leakage.leaked(d, it).collect()}
+        assert set(got) == {1, *more} and got[1] == 9
+        exact = {r.doc_id for r in leakage.leaked(d, it, passages=True).where("longest_run >= 12").collect()}
+        assert exact == set(more) - {5}
+
+
 def test_alignment_and_words():
     a = np.array(numbers("eins zwei drei vier fuenf".split()))
     b = np.array(numbers("x eins zwei y drei vier".split()))

@@ -1,9 +1,11 @@
 """Evaluation texts that leak into training texts.
 
-Seeds are the rarest runs of words of each item, chosen by how many texts of the
-corpus hold them, so that any passage of the wanted length contains one.  They
-join texts to items; Smith-Waterman alignment scores every pair found, edited
-copies included, and counts the longest exact run on the way.
+Seeds are runs of words of the items.  For edited copies every run is one, so
+that no other text decides whether a copy is found; for exact passages the
+rarest runs do, chosen by how many texts of the corpus hold them, so that any
+passage of the wanted length contains one.  They join texts to items;
+Smith-Waterman alignment scores every pair found and counts the longest exact
+run on the way.
 """
 
 from __future__ import annotations
@@ -20,6 +22,8 @@ from textveil.session import cut
 
 #: Words of a seed, and of the shortest passage that counts.
 SEED, PASSAGE = 4, 12
+#: Least score of a pair: that of the shortest passage, word for word.
+LEAST_SCORE = 2 * PASSAGE
 #: Most item runs that are sent to every executor (8 bytes each); with more, the
 #: runs of all texts are joined to them by a shuffle.
 MAX_SENT = 1_000_000
@@ -110,8 +114,12 @@ def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column("key"), b.column("item"), *cols, pa.array([len(i.values) for i in items], pa.int32())], ["key", "item", "score", "end_word", "item_end_word", "longest_run", "item_words"])
 
 
-def leaked(docs: DataFrame, items: DataFrame, doc_key: str = "doc_id", item_key: str = "item_id", text: str = "text") -> DataFrame:
-    """Pairs of a text and an item that share a seed, with their alignment.
+def leaked(docs: DataFrame, items: DataFrame, doc_key: str = "doc_id", item_key: str = "item_id", text: str = "text", passages: bool = False) -> DataFrame:
+    """Pairs of a text and an item that share SEED consecutive words and align
+    with LEAST_SCORE or more.
+
+    With ``passages`` only pairs that may share PASSAGE consecutive words are
+    looked at, by the rarest runs of each passage; edited copies may be missing.
 
     Columns ``(<doc_key> bigint, <item_key> bigint, score, end_word,
     item_end_word, longest_run, item_words)``.  Every pair with PASSAGE or more
@@ -134,14 +142,16 @@ def leaked(docs: DataFrame, items: DataFrame, doc_key: str = "doc_id", item_key:
     if sent is None:
         hits = hits.join(distinct, "run", "left_semi")
     hits = cut(hits)
-    df = hits.groupBy("run").agg(F.count(F.lit(1)).alias("df"))
-    # of the runs inside any passage, the rarest; one that no text holds rules the passage out
-    span = Window.partitionBy("item").orderBy("place").rowsBetween(Window.currentRow, PASSAGE - SEED)
-    ranked = item_runs.join(df, "run", "left").select("item", "place", F.struct(F.coalesce("df", F.lit(0)).alias("df"), "run").alias("r"))
-    full = ranked.select("item", F.min("r").over(span).alias("seed"), F.count(F.lit(1)).over(span).alias("n")).where(F.col("n") == PASSAGE - SEED + 1)
-    seeds = full.where("seed.df > 0").select("item", F.col("seed.run").alias("run")).distinct()
+    seeds = item_runs.select("item", "run").distinct()
+    if passages:
+        df = hits.groupBy("run").agg(F.count(F.lit(1)).alias("df"))
+        # of the runs inside any passage, the rarest; one that no text holds rules the passage out
+        span = Window.partitionBy("item").orderBy("place").rowsBetween(Window.currentRow, PASSAGE - SEED)
+        ranked = item_runs.join(df, "run", "left").select("item", "place", F.struct(F.coalesce("df", F.lit(0)).alias("df"), "run").alias("r"))
+        full = ranked.select("item", F.min("r").over(span).alias("seed"), F.count(F.lit(1)).over(span).alias("n")).where(F.col("n") == PASSAGE - SEED + 1)
+        seeds = full.where("seed.df > 0").select("item", F.col("seed.run").alias("run")).distinct()
     pairs = hits.join(seeds, "run").select("key", "item").distinct()
     full_pairs = pairs.join(having.select("key", "ws"), "key").join(item_ws.withColumnRenamed("ws", "item_ws"), "item")
     spread = full_pairs.repartition(4 * spark.sparkContext.defaultParallelism, "key", "item")
     out = spread.mapInArrow(_align, "key bigint, item bigint, score int, end_word int, item_end_word int, longest_run int, item_words int")
-    return out.withColumnsRenamed({"key": doc_key, "item": item_key})
+    return out.where(F.col("score") >= LEAST_SCORE).withColumnsRenamed({"key": doc_key, "item": item_key})

@@ -58,7 +58,8 @@ def p7_leaked(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
-    return p7_leaked(spark, d).where(F.col("longest_run") >= leakage.PASSAGE).select("doc_id", "item_id")
+    found = leakage.leaked(table(spark, d, "documents"), table(spark, d, "benchmark"), passages=True)
+    return found.where(F.col("longest_run") >= leakage.PASSAGE).select("doc_id", "item_id")
 
 
 def p3_overlaps(spark: SparkSession, d: str) -> DataFrame:
