@@ -174,3 +174,11 @@ def test_line_classes_hold_all_tables(spark):
     d = "/root/testdata/sf0.001"
     got = {r.table_name: r["count"] for r in catalog.Q["line_cosine_members"](spark, d).groupBy("table_name").count().collect()}
     assert got == {name: catalog.table(spark, d, name).where(F.col(text).rlike(r"[^\n\r]")).count() for name, _, text in catalog.TEXT_TABLES}
+
+
+def test_radiology_spans_are_cleaned(spark):
+    text = "PET Studie. MELANO-1 Studie. Befunderstellung durch von Dr. A. Meier und B. Öztürk \nEnde ED 03/2020 ."
+    rows = [(0, 0, 3, "STUDYID"), (1, text.index("MELANO"), text.index(" Studie. Bef"), "STUDYID"), (2, text.index("Dr. A"), text.index("\n"), "STAFF"), (3, text.index(" 03/2020"), len(text) - 1, "DATE"), (4, 0, 3, "STAFF")]
+    df = spark.createDataFrame([(1, text, s, b, e, c, text[b:e]) for s, b, e, c in rows], "doc int, text string, seq long, begin int, end int, sub_class string, covered string")
+    got = [(r.covered, text[r.begin : r.end]) for r in models.clean_spans(df, "text").orderBy("seq").collect()]
+    assert got == [(x, x) for x in ("MELANO-1", "A. Meier", "B. Öztürk", "03/2020")]

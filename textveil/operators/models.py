@@ -93,3 +93,21 @@ def trim_span(covered: Column, begin: Column, end: Column) -> Column:
     left = F.length(covered) - F.length(F.regexp_replace(covered, "^ +", ""))
     right = F.length(covered) - F.length(F.regexp_replace(covered, " +$", ""))
     return F.when(covered.rlike("[^ ]"), F.struct((begin + left).alias("begin"), (end - right).alias("end"))).otherwise(F.struct(begin.alias("begin"), begin.alias("end")))
+
+
+def clean_spans(found: DataFrame, text: str) -> DataFrame:
+    """Rule spans ``(.., begin, end, sub_class, covered)`` beside their ``text``, as the
+    radiology set is applied: spaces trimmed, study names fixed or dropped, runs
+    of staff split into ``X. Surname`` parts (a run without any gives none).
+
+    The parts take the place of their run: ``seq`` is spread and counts up in order.
+    """
+    t = found.withColumn("_t", trim_span(F.col("covered"), F.col("begin"), F.col("end"))).withColumns({"begin": F.col("_t.begin"), "end": F.col("_t.end")}).drop("_t")
+    one = lambda b, e: F.array(F.struct(b.cast("int").alias("begin"), e.cast("int").alias("end")))
+    covered = F.col(text).substr(F.col("begin") + 1, F.col("end") - F.col("begin"))
+    names = F.transform(split_staff(covered), lambda s: F.struct((F.col("begin") + s["begin"]).cast("int").alias("begin"), (F.col("begin") + s["end"]).cast("int").alias("end")))
+    study = study_span(F.col(text), F.col("begin"), F.col("end"))
+    parts = F.when(F.col("sub_class") == "STAFF", names).when(F.col("sub_class") == "STUDYID", F.when(study.isNotNull(), one(study["begin"], study["end"]))).otherwise(one(F.col("begin"), F.col("end")))
+    out = t.select("*", F.posexplode(parts).alias("_i", "_s"))
+    out = out.withColumns({"begin": F.col("_s.begin"), "end": F.col("_s.end"), "seq": F.col("seq") * 1_000_000 + F.col("_i")})
+    return out.withColumn("covered", covered).drop("_i", "_s")

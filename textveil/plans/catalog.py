@@ -67,6 +67,16 @@ def detect_radiology_rules(spark, d):
     return _out(_spans(reports(spark, d), detect.RADIOLOGY).select("doc", "seq", "begin", "end", "main_class", "sub_class", "covered"))
 
 
+@query
+def detect_radiology(spark, d):
+    """The radiology set as applied: spaces trimmed, study names fixed, staff runs split.
+    ``detect_radiology_rules`` has the raw rule spans that the SQL restates."""
+    r = reports(spark, d)
+    found = detect.detect_arrays(r.select("doc", "text"), "text", detect.RADIOLOGY, "rules").select("doc", "text", F.explode("spans").alias("s")).select("doc", "text", "s.*")
+    found = found.withColumn("covered", F.col("text").substr(F.col("begin") + 1, F.col("end") - F.col("begin")))
+    return _out(models.clean_spans(found, "text").select("doc", "seq", "begin", "end", "main_class", "sub_class", "covered"))
+
+
 @query
 def detect_postprocess_rules(spark, d):
     return _out(_spans(texts(spark, d, "documents").where("text is not null").select(F.col("doc_id").alias("doc"), "text"), detect.POSTPROCESS + detect.MISSING).select("doc", "seq", "begin", "end", "main_class", "sub_class", "covered"))
