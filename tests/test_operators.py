@@ -30,11 +30,22 @@ def test_tokens_compat_drops_last_char(spark):
     assert [r.token for r in tokens.tokens(df, "doc", "text").collect()] == ["ab", "cd"]
 
 
+def annotated_texts(spark, rows):
+    return spark.createDataFrame(rows, "doc int, text string, spans array<struct<begin:int,end:int,main_class:string,sub_class:string>>")
+
+
 def test_bio_splits_tokens_at_edges(spark):
-    t = tokens.tokens(spark.createDataFrame([(1, "Herr Max-Meier kam")], "doc int, text string"), "doc", "text")
-    a = spark.createDataFrame([(1, 5, 8, "Name", "PATIENT")], "doc int, begin int, end int, main_class string, sub_class string")
-    got = [(r.begin, r.token, r.label) for r in tokens.bio_labels(t, a, "doc").orderBy("begin").collect()]
-    assert got == [(0, "Herr", "O"), (5, "Max", "B-Name_PATIENT"), (8, "-Meier", "O"), (15, "kam", "O")]
+    df = annotated_texts(spark, [(1, "Herr Max-Meier kam", [(5, 8, "Name", "PATIENT")]), (2, "a b", []), (3, None, [])])
+    got = [(r.doc, r.begin, r.token, r.label) for r in tokens.bio_labels(df, "doc", "text", "spans").orderBy("doc", "begin").collect()]
+    assert got == [(1, 0, "Herr", "O"), (1, 5, "Max", "B-Name_PATIENT"), (1, 8, "-Meier", "O"), (1, 15, "kam", "O"), (2, 0, "a", "O"), (2, 2, "b", "O")]
+
+
+def test_labelled_chunks(spark):
+    df = annotated_texts(spark, [(1, "Herr Dr. Max kam heim", [(5, 12, "Name", "STAFF")])])
+    c = tokens.labelled_chunks(df, "doc", "text", "spans", 2, 0).orderBy("part_id").collect()
+    assert [(r.text, r.tags_superclass, r.num_parts) for r in c] == [("Herr Dr. Max", ["O", "B-Name", "I-Name"], 3), ("Max kam heim", ["I-Name", "O", "O"], 3), ("heim", ["O"], 3)]
+    sub = tokens.labelled_chunks(df, "doc", "text", "spans", 5, 0, subwords=True).first()
+    assert sub.tokens == ["Herr", "Dr", ".", "Max", "kam", "heim"] and sub.tags_subclass == ["O", "B-Name_STAFF", "I-Name_STAFF", "I-Name_STAFF", "O", "O"]
 
 
 def test_subword_labels(spark):
@@ -179,6 +190,48 @@ def test_line_classes_hold_all_tables(spark):
 def test_radiology_spans_are_cleaned(spark):
     text = "PET Studie. MELANO-1 Studie. Befunderstellung durch von Dr. A. Meier und B. Öztürk \nEnde ED 03/2020 ."
     rows = [(0, 0, 3, "STUDYID"), (1, text.index("MELANO"), text.index(" Studie. Bef"), "STUDYID"), (2, text.index("Dr. A"), text.index("\n"), "STAFF"), (3, text.index(" 03/2020"), len(text) - 1, "DATE"), (4, 0, 3, "STAFF")]
-    df = spark.createDataFrame([(1, text, s, b, e, c, text[b:e]) for s, b, e, c in rows], "doc int, text string, seq long, begin int, end int, sub_class string, covered string")
-    got = [(r.covered, text[r.begin : r.end]) for r in models.clean_spans(df, "text").orderBy("seq").collect()]
-    assert got == [(x, x) for x in ("MELANO-1", "A. Meier", "B. Öztürk", "03/2020")]
+    spans = [(s, b, e, "X", c, 1.0, "r") for s, b, e, c in rows]
+    df = spark.createDataFrame([(text, spans), ("", []), (None, [])], "text string, spans array<struct<seq:bigint,begin:int,end:int,main_class:string,sub_class:string,score:double,source:string>>")
+    got = [r.c for r in df.select(models.clean_spans(F.col("text"), F.col("spans")).alias("c")).collect()]
+    assert [text[s.begin : s.end] for s in got[0]] == ["MELANO-1", "A. Meier", "B. Öztürk", "03/2020"] and got[1:] == [[], []]
+    assert [s.seq for s in got[0]] == sorted(s.seq for s in got[0])
+
+
+def test_match_arrays_equals_match_outer(spark):
+    rng = random.Random(11)
+    span = lambda i: (i, *sorted(rng.sample(range(40), 2)), "A", "B", 1.0)
+    docs = [(k, [span(i) for i in range(rng.randrange(5))], [span(i) for i in range(rng.randrange(5))]) for k in range(30)]
+    kind = "array<struct<i:int,begin:int,end:int,main_class:string,sub_class:string,score:double>>"
+    df = spark.createDataFrame(docs, f"doc int, sup {kind}, sub {kind}")
+    m = df.select("doc", models.match_arrays(F.col("sup"), F.col("sub")).alias("m")).collect()
+    got = [(r.doc, x.a and x.a.i, x.b and x.b.i) for r in m for x in r.m]
+    flat = lambda c: df.select("doc", F.explode(c).alias("s")).select("doc", "s.*")
+    want = [(r.doc, r.a_i, r.b_i) for r in models.match_outer(flat("sup"), flat("sub"), ["doc"]).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    for r in m:  # pairs by place in sup, then sub; then those alone
+        pairs = [(x.a.i, x.b.i) for x in r.m if x.a and x.b]
+        assert pairs == sorted(pairs) and [bool(x.a and x.b) for x in r.m] == sorted((bool(x.a and x.b) for x in r.m), reverse=True)
+
+
+def test_detectors_run_once(spark):
+    from textveil.operators import detect, rewrite
+
+    df = spark.createDataFrame([(1, "am 12.03.2020 a@b.de2@x.com ----")], "doc int, text string").withColumn("text", F.concat("text", F.lit("")))
+    sets = detect.CONTACTS + detect.RADIOLOGY
+    for q in (detect.detect(df, "doc", "text", sets).groupBy("main_class").count(), rewrite.deidentify(df, "doc", "text", sets)):
+        assert q._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") <= len(sets)
+    found = {r.covered for r in detect.detect(df, "doc", "text", sets).collect()}
+    assert {"12.03.2020", "a@b.de"} <= found
+
+
+def test_evaluation_within_rows_equals_join(spark):
+    rng = random.Random(4)
+    some = lambda: [(b, b + 2, rng.choice(["Date", "Other"]), "X") for b in rng.sample(range(6), rng.randrange(4))]
+    kind = "array<struct<begin:int,end:int,main_class:string,sub_class:string>>"
+    df = spark.createDataFrame([(i, some(), some()) for i in range(25)] + [(99, None, [(0, 2, "Date", "X")] * 2)], f"doc int, g {kind}, p {kind}")
+    flat = lambda c: df.select("doc", F.explode(c).alias("s")).select("doc", evaluate.blind(F.col("s.main_class"), F.col("s.sub_class"), 2).alias("label"), "s.begin", "s.end")
+    key = lambda rows: sorted(tuple(r[c] for c in ("doc", "label", "begin", "end", "g", "p")) for r in rows)
+    assert key(evaluate.matches_within(df, "doc", "g", "p", 2).collect()) == key(evaluate.matches(flat("g"), flat("p")).collect())
+    rep = evaluate.report(df, "doc", "g", "p")
+    assert {r.sheet for r in rep.collect()} == {"doc_only_type", "sum_only_type", "doc_with_kind", "sum_with_kind"}
+    assert rep.where("sheet = 'doc_with_kind' and eval_name = 'strict'").count() == 26

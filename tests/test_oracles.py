@@ -4,6 +4,7 @@ import os
 from pathlib import Path
 
 import duckdb
+import pandas as pd
 import pytest
 
 from textveil.plans import catalog, oracles
@@ -14,7 +15,7 @@ ORACLES = oracles.oracle_sql()
 
 def rows(df):
     cols = sorted(df.columns)
-    show = lambda v: None if v is None or v != v else round(float(v), 9) if not isinstance(v, (str, bool)) else v
+    show = lambda v: None if pd.isna(v) else round(float(v), 9) if not isinstance(v, (str, bool)) else v
     return sorted((tuple(show(v) for v in r) for r in df[cols].astype(object).itertuples(index=False)), key=str)
 
 

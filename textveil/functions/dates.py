@@ -19,6 +19,7 @@ WEEKDAYS = ["montag", "dienstag", "mittwoch", "donnerstag", "freitag", "samstag"
 MONTHS = ["Januar", "Februar", "März", "April", "Mai", "Juni", "Juli", "August", "September", "Oktober", "November", "Dezember"]
 SHORT = [m[:3] for m in MONTHS]
 
+# What selects a date format, in this order.
 _D, _M = r"(3[01]|[12]\d|0[1-9]|[1-9])", r"(1[0-2]|0[1-9]|[1-9])"
 #: name: (what selects the format, how it is read, groups of day, month, year, separators, layout)
 _FORMATS = [
@@ -34,6 +35,10 @@ _FORMATS = [
 ]
 
 
+#: Stands between the groups of a match; a text that holds it is no date.
+_MARK = "\x1f"
+
+
 def _whole(pattern: str) -> str:
     return rf"^(?:{pattern})\z"
 
@@ -70,14 +75,19 @@ def _parse(text: Column) -> Column:
     for _, select, read, gd, gm, gy, seps, layout in reversed(_FORMATS):
         value = failed
         if read is not None:
-            g = lambda k, read=read: F.regexp_extract(text, _whole(read), k)
-            named = layout in ("db", "dB", "Bd")
-            m = (_month_number(g(gm)) if named else F.lpad(g(gm), 2, "0")) if gm else F.lit("01")
-            y = _year(g(gy), 2) if layout == "dmy2" else F.when(g(gy) == "", "1900").otherwise(g(gy)) if gy else F.lit("1900")
-            s = [g(k) for k in seps] + [F.lit("")]
-            has = (g(gy) != "") if named and gy else F.lit(False)
-            got = F.struct(F.concat_ws("-", y, m, F.lpad(g(gd), 2, "0")).alias("day"), F.lit(layout).alias("layout"), s[0].alias("s0"), s[1].alias("s1"), has.alias("named_year"))
-            value = F.when(text.rlike(_whole(read)), got).otherwise(failed)
+            # one match gives all groups, strung together
+            n = max(gd, gm, gy, *seps)
+            groups = F.split(F.regexp_replace(text, _whole(read), _MARK.join(f"${k}" for k in range(1, n + 1))), _MARK, -1)
+
+            def got(g: Column) -> Column:  # noqa: B023 (called at once)
+                named = layout in ("db", "dB", "Bd")
+                m = (_month_number(g[gm - 1]) if named else F.lpad(g[gm - 1], 2, "0")) if gm else F.lit("01")
+                y = _year(g[gy - 1], 2) if layout == "dmy2" else F.when(g[gy - 1] == "", "1900").otherwise(g[gy - 1]) if gy else F.lit("1900")
+                s = [g[k - 1] for k in seps] + [F.lit("")]
+                has = (g[gy - 1] != "") if named and gy else F.lit(False)
+                return F.struct(F.concat_ws("-", y, m, F.lpad(g[gd - 1], 2, "0")).alias("day"), F.lit(layout).alias("layout"), s[0].alias("s0"), s[1].alias("s1"), has.alias("named_year"))
+
+            value = F.when(text.rlike(_whole(read)) & ~text.contains(_MARK), _let(groups, got)).otherwise(failed)
         out = F.when(text.rlike(_whole(select)), value).otherwise(out)
     return out
 
@@ -119,6 +129,7 @@ def _parse_and_write(text: Column, add_days: Column, add_years: Column | None) -
 
 def range_separator(text: Column) -> Column:
     """What stands between the two dates of a range (or a weekday and its date), else ''."""
+    # fixed values: the three shapes of a range
     r1 = r"\d{1,2}(\.|/)(\d{1,2}(\.?))?(-| - )\d{1,2}(\.|/)\d{1,2}(\.?)"
     r2 = r"[A-Z]*[a-z]+(.*?)\d{1,2}(\.|/|-)\d{1,2}(\.?)((\.|/|-)\d{2,4})?"
     r3 = r"\d{1,2}(-| - )\d{1,2}(\.|/)\d{1,2}(\.|/)\d{4}"
@@ -126,7 +137,7 @@ def range_separator(text: Column) -> Column:
     return F.when(text.rlike(_whole(r1)), get(r1, 4)).when(text.rlike(_whole(r2)), get(r2, 1)).when(text.rlike(_whole(r3)), get(r3, 1)).otherwise("")
 
 
-def shift_date(covered: Column, days: Column, guard_before: int = 2007, guard: Column | None = None) -> Column:
+def shift_date(covered: Column, days: Column, guard_before: int = 2007) -> Column:
     """A date, or a range of dates, moved by ``days``.
 
     ``struct<written, old>``: null ``written`` means no date that can be moved;
@@ -134,16 +145,20 @@ def shift_date(covered: Column, days: Column, guard_before: int = 2007, guard: C
     date.  Vague dates come out as they were.
     """
     value = F.regexp_replace(F.regexp_replace(covered, r"(?U)^\s+|\s+\z", ""), r"[()]", "")
-    sep = range_separator(value)
-    parts = F.when(sep == "", F.array(value)).otherwise(F.split(value, F.concat(F.lit("\\Q"), sep, F.lit("\\E")), -1))
-    dates = F.filter(parts, lambda d: ~F.lower(d).isin(WEEKDAYS))
-    moved = F.transform(dates, lambda d: _parse_and_write(d, days, None))
-    bad = F.exists(moved, lambda m: m["written"].isNull())
-    old = F.exists(moved, lambda m: (F.year(m["date"]) > 1901) & (F.year(m["date"]) < guard_before))
-    text = F.call_function("array_join", F.transform(moved, lambda m: m["written"]), sep)
-    return F.when(keeps(value), F.struct(covered.alias("written"), F.lit(False).alias("old"))).otherwise(
-        F.struct(F.when(~bad, text).alias("written"), F.coalesce(old, F.lit(False)).alias("old"))
-    )
+
+    def joined(sep: Column, moved: Column) -> Column:
+        bad = F.exists(moved, lambda m: m["written"].isNull())
+        old = F.exists(moved, lambda m: (F.year(m["date"]) > 1901) & (F.year(m["date"]) < guard_before))
+        text = F.call_function("array_join", F.transform(moved, lambda m: m["written"]), sep)
+        return F.struct(F.when(~bad, text).alias("written"), F.coalesce(old, F.lit(False)).alias("old"))
+
+    def by_parts(value: Column, sep: Column) -> Column:
+        parts = F.when(sep == "", F.array(value)).otherwise(F.split(value, F.concat(F.lit("\\Q"), sep, F.lit("\\E")), -1))
+        kept = F.filter(parts, lambda d: ~F.lower(d).isin(WEEKDAYS))
+        return _let(F.transform(kept, lambda d: _parse_and_write(d, days, None)), lambda moved: joined(sep, moved))
+
+    shifted = lambda v: F.when(keeps(v), F.struct(covered.alias("written"), F.lit(False).alias("old"))).otherwise(_let(range_separator(v), lambda sep: by_parts(v, sep)))
+    return _let(value, shifted)
 
 
 def shift_birthdate(covered: Column, days: Column, years: Column) -> Column:

@@ -6,7 +6,7 @@ expressions stay in the JVM; positions are sums of lengths, never instr.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -122,12 +122,25 @@ def stitch(text: Column, parts: Column) -> Column:
     """The text with each span of ``parts(begin, end, sub)`` replaced by ``sub``.
 
     Parts must be sorted by (begin, end).  What a nested span would re-emit is
-    left out: the place never moves back.
+    left out: the place never moves back.  Gaps are cut out one by one and joined
+    once, so the text that is already written is never copied again.
     """
 
-    def step(acc: Column, x: Column) -> Column:
-        gap = F.when(x["begin"] > acc["pos"], text.substr(acc["pos"] + 1, x["begin"] - acc["pos"])).otherwise("")
-        return F.struct(F.concat(acc["out"], gap, x["sub"]).alias("out"), F.greatest(acc["pos"], x["end"]).alias("pos"))
+    def joined(ps: Column) -> Column:
+        places = _running(ps, lambda pos, x: F.greatest(pos, x["end"]))
+        gap = lambda pos, x: F.when(x["begin"] > pos.cast("int"), text.substr(pos.cast("int") + 1, x["begin"] - pos.cast("int"))).otherwise("")
+        body = F.array_join(F.zip_with(F.slice(places, 1, F.size(ps)), ps, lambda pos, x: F.concat(gap(pos, x), x["sub"])), "")
+        last = F.array_max(F.transform(ps, lambda x: x["end"]))
+        return F.concat(body, text.substr(last + 1, F.length(text)))
+
+    return F.when(F.size(parts) > 0, _let(parts, joined)).when(parts.isNotNull(), text)
+
 
-    end = lambda acc: F.concat(acc["out"], text.substr(acc["pos"] + 1, F.length(text)))
-    return F.aggregate(parts, F.struct(F.lit("").alias("out"), F.lit(0).alias("pos")), step, end)
+def spread(df: DataFrame, spans: str, *cols: str) -> DataFrame:
+    """A row per element of the array ``spans``, as column ``s``, beside ``cols``.
+
+    An outer explode and a filter on its result: a plain explode makes the
+    optimizer infer ``size(spans) > 0``, push it below the projection that finds
+    the spans, and so find them again.
+    """
+    return df.select(*cols, F.explode_outer(spans).alias("s")).where(F.col("s").isNotNull())

@@ -24,6 +24,37 @@ def first_accepted(df: DataFrame, accept: Column, order: list[str], n: int) -> D
     return df.where(accept).orderBy(*order).limit(n)
 
 
+def annotated(df: DataFrame, spans: str) -> DataFrame:
+    """Rows with at least one annotation."""
+    return df.where(F.size(spans) > 0)
+
+
+def typed_keys(mapping: DataFrame, type_column: str, wanted: str, keep: list[str], by: str) -> DataFrame:
+    """The columns ``keep`` of the rows of one type, the first of each ``by`` (by all of ``keep``)."""
+    rows = mapping.where((F.trim(type_column) == wanted) & F.col(by).isNotNull()).select(*keep)
+    first = F.min(F.struct(*[c for c in keep if c != by])).alias("_f")
+    return rows.groupBy(by).agg(first).select(*[by if c == by else f"_f.{c}" for c in keep])
+
+
+def corpus_union(parts: dict[str, DataFrame]) -> DataFrame:
+    """Several corpora as one, with their names as ``document_type``."""
+    out = None
+    for name, df in parts.items():
+        tagged = df.select(F.lit(name).alias("document_type"), *df.columns)
+        out = tagged if out is None else out.unionByName(tagged)
+    return out
+
+
+def seeded_offsets(ids: list, low: int = -14, high: int = 15, years: tuple[int, int] = (-2, 3), seed: int = 42) -> list[tuple]:
+    """``(id, days, years)``: draws of a seeded generator over the sorted ids, never 0.
+
+    For small corpora whose draws must be repeated; ``high`` is excluded.
+    """
+    rng = random.Random(seed)
+    allowed = [[x for x in range(*r) if x] for r in ((low, high), years)]
+    return [(i, *(rng.choice(a) for a in allowed)) for i in sorted(ids)]
+
+
 def portable_hash(c: Column) -> Column:
     """A number from md5 that any engine can repeat."""
     return F.conv(F.substring(F.md5(c.cast("string")), 1, 8), 16, 10).cast("bigint")
@@ -98,6 +129,27 @@ def balance(counts: list[tuple[str, str, int]], train: set[str], low: float = 0.
     return removed
 
 
+#: Most (patient, label) counts that the greedy balancing takes to the driver.
+MAX_BALANCED = 5_000_000
+
+
+def balanced_patients(annotations: DataFrame, train: DataFrame, patient: str, low: float = 0.7, high: float = 0.8) -> DataFrame:
+    """``train`` without the patients that :func:`balance` takes out.
+
+    The greedy loop is sequential and runs on the driver over one row per
+    (patient, label); more than MAX_BALANCED of them raise instead of filling it.
+    """
+    counts = annotations.groupBy(patient, F.concat_ws("_", "main_class", "sub_class").alias("label")).agg(F.count(F.lit(1)).alias("n"))
+    flagged = counts.join(train.select(patient).distinct().withColumn("_t", F.lit(1)), patient, "left")
+    rows = flagged.limit(MAX_BALANCED + 1).toArrow()
+    if len(rows) > MAX_BALANCED:
+        raise ValueError("too many patients and labels to balance; raise MAX_BALANCED or balance a sample")
+    p, label, n, t = (rows.column(c).to_pylist() for c in (patient, "label", "n", "_t"))
+    out = balance(list(zip(p, label, n)), {x for x, y in zip(p, t) if y}, low, high)
+    gone = train.sparkSession.createDataFrame([(x,) for x in sorted(out)], train.select(patient).schema)
+    return train.join(gone, patient, "left_anti")
+
+
 def leak_flags(train: DataFrame, test: DataFrame, key: str) -> DataFrame:
     """Rows of both sides with ``leaks``: whether the key stands in both."""
     common = train.select(key).intersect(test.select(key)).where(F.col(key).isNotNull()).withColumn("_c", F.lit(1))

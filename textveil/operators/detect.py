@@ -1,8 +1,9 @@
 """Rule-based detectors: a declared pattern becomes spans of text.
 
 A detector is (name, pattern, class, subclass, head, tail): head and tail are
-the parts of a match around the span itself.  All detectors of a set run in one
-scan of the text; their place in the set is the arrival order of their spans.
+the parts of a match around the span itself.  All detectors of a set run within
+the row, each over the text once; their place in the set is the arrival order of
+their spans.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textveil.functions.spans import find_spans
+from textveil.functions.spans import find_spans, spread
 
 ANNOTATION = "seq bigint, begin int, end int, main_class string, sub_class string, score double, source string"
 
@@ -30,6 +31,14 @@ class Detector:
     tail: str = ""
     #: What every match contains; texts without it are not searched.
     needs: str = ""
+    #: A character class: no match begins inside a run of it.  Spares a search
+    #: from every character of a long run, and changes no match.
+    run: str = ""
+
+    @property
+    def java(self) -> str:
+        """The pattern as it is run; behind a match (``\\G``) a run counts as new."""
+        return rf"(?:\G|(?<!{self.run})){self.pattern}" if self.run else self.pattern
 
 
 # Months as the date rule spells them.
@@ -59,9 +68,9 @@ POSTPROCESS = (
 )
 MISSING = (Detector("study", "(?i)" + _STUDY, "ID", "STUDYID", "", "(?i)" + _STUDY_TAIL, "(?i)studie"),)
 CONTACTS = (
-    Detector("email", r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+\.[A-Za-z]{2,}", "Contact", "EMAIL"),
+    Detector("email", r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+\.[A-Za-z]{2,}", "Contact", "EMAIL", needs="@", run=r"[A-Za-z0-9._%+\-]"),
     Detector("ip", r"\b[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\b", "Contact", "IPADDRESS"),
-    Detector("url", r"https?://[A-Za-z0-9./_\-]+", "Contact", "URL"),
+    Detector("url", r"https?://[A-Za-z0-9./_\-]+", "Contact", "URL", needs="http"),
     Detector("phone", r"\+[0-9]{2}[0-9 ()/\-]{6,18}[0-9]", "Contact", "PHONE"),
 )
 MEASURES = (
@@ -73,7 +82,7 @@ IMAGE = r"(?i)ima.*?[0-9]+/[0-9]+(?:-[0-9]+)?"
 
 
 def spans_of(text: Column, d: Detector, order: int, source: str, score: float = 1.0) -> Column:
-    found = find_spans(text, d.pattern, d.head, d.tail)
+    found = find_spans(text, d.java, d.head, d.tail)
     if d.needs:
         found = F.when(text.rlike(d.needs), found).when(text.isNotNull(), F.expr("cast(array() as array<struct<begin:int,end:int,covered:string>>)"))
     return F.transform(
@@ -92,7 +101,7 @@ def detect_arrays(df: DataFrame, text: str, detectors: tuple[Detector, ...], sou
 
 def detect(df: DataFrame, key: str, text: str, detectors: tuple[Detector, ...], source: str = "rules") -> DataFrame:
     """One row per span: ``key`` and the fields of an annotation, plus ``covered``."""
-    found = detect_arrays(df.select(key, text), text, detectors, source).select(key, text, F.explode("spans").alias("s"))
+    found = spread(detect_arrays(df.select(key, text), text, detectors, source), "spans", key, text)
     return found.select(key, "s.*", F.col(text).substr(F.col("s.begin") + 1, F.col("s.end") - F.col("s.begin")).alias("covered"))
 
 
@@ -104,15 +113,50 @@ class SpanModel(Protocol):
     def predict(self, texts: list[str]) -> list[list[dict]]: ...
 
 
-def model_spans(df: DataFrame, key: str, text: str, make_model: Callable[[], SpanModel], source: str = "model") -> DataFrame:
-    """Spans of a model, by Arrow batches; each prediction has begin, end, label and score."""
+def split_label(label: str) -> tuple[str, str]:
+    """``Class_SUB`` as class and subclass; a label without ``_`` has the subclass ''."""
+    main, _, sub = label.partition("_")
+    return main, sub
+
+
+def model_spans(df: DataFrame, key: str, text: str, make_model: Callable[[], SpanModel], source: str = "model", start: str | None = None) -> DataFrame:
+    """Spans of a model, by Arrow batches; each prediction has begin, end, label and score.
+
+    With ``start`` the texts are chunks that begin there in their document, and
+    the spans are led back to it.  Null texts have none.
+    """
     kind = df.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = make_model()
         model.load()
         for b in batches:
-            rows = [(k, i, p["begin"], p["end"], *(p["label"].split("_", 1) + [""])[:2], float(p.get("score", 1.0)), source) for k, ps in zip(b[key], model.predict(b[text].tolist())) for i, p in enumerate(ps)]
+            rows = [(k, i, at + p["begin"], at + p["end"], *split_label(p["label"]), float(p.get("score", 1.0)), source) for k, at, ps in zip(b["k"], b["at"], model.predict(b["t"].tolist())) for i, p in enumerate(ps)]
             yield pd.DataFrame(rows, columns=[key, "seq", "begin", "end", "main_class", "sub_class", "score", "source"])
 
-    return df.select(key, text).where(F.col(text).isNotNull()).mapInPandas(run, f"{key} {kind}, {ANNOTATION}")
+    rows = df.select(F.col(key).alias("k"), F.col(text).alias("t"), (F.col(start) if start else F.lit(0)).cast("bigint").alias("at"))
+    return rows.where(F.col("t").isNotNull()).mapInPandas(run, f"{key} {kind}, {ANNOTATION}")
+
+
+def apply_callbacks(df: DataFrame, key: str, text: str, spans: str, fix: Callable[[dict, str], list[dict]] | None = None, new: Callable[[str], list[dict]] | None = None) -> DataFrame:
+    """User functions over annotated texts: ``(key, seq, begin, end, main_class, sub_class, score, source)``.
+
+    ``fix(annotation, text)`` answers the annotations that take its place (none,
+    one or several); ``new(text)`` gives more.  By Arrow batches; the functions
+    must be picklable.  Null texts and arrays count as empty.
+    """
+    kind = df.schema[key].dataType.simpleString()
+    fields = ["begin", "end", "main_class", "sub_class", "score", "source"]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for k, t, ss in zip(b["k"], b["t"], b["s"]):
+                if t is None:
+                    continue
+                given = [dict(s) for s in ss] if ss is not None else []
+                out = [x for s in given for x in (fix(s, t) if fix else [s])] + (list(new(t)) if new else [])
+                rows += [(k, i, *(x.get(f) for f in fields)) for i, x in enumerate(out)]
+            yield pd.DataFrame(rows, columns=[key, "seq", *fields])
+
+    return df.select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(spans).alias("s")).mapInPandas(run, f"{key} {kind}, {ANNOTATION}")

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textveil.functions.spans import find_spans, touches
+from textveil.functions.spans import _let, find_spans, touches
 
 
 @dataclass(frozen=True)
@@ -20,13 +20,37 @@ class Letterhead:
     gate: str
     kinds: tuple[str, ...]
     finals: tuple[tuple[str, bool], ...]
-    page_start: str = r"Seite 1 von 2"
-    page_end: str = r"Seite 2 von 2"
-
+    page_start: str = r"(?:Name: Seite Eingang am:|Name: Seite Eingangsdatum:|Seite 1 von 2)"
+    page_end: str = r"(?:\n(?:BarcodeDokumentNr)?\s+[A-Z][0-9]+/[0-9]+(?:\+[0-9]+)?\n|Seite 2 von 2)"
+
+
+# Headings with which the body of a letter begins, in order of rank.
+HEADINGS = (
+    r"Korrekturbefund\n",
+    r"Nachbericht:\n",
+    r"Zytologischer Befundbericht\n",
+    r"Befundbericht\n",
+    r"Schnellschnittdiagnose(?: \(.*?\))?\n",
+    r"Nachbericht mit Makroskopie\n",
+    r"Nachbericht \(Korrekturbefund\):",
+    r"Nachbericht \(nach Paraffineinbettung\):",
+    r"[0-9]\.? Befundbericht",
+    r"Untersuchter Block:\n",
+    r"Sektionsbericht",
+    r"Dermatopathologischer Beratungsfall\n",
+    r"Neuropathologisch-autoptischer Befund",
+    r"Dermatopathologischer Nachbericht\n",
+    r"Dermatopathologisches Gutachten\n",
+    r"Korrekturbefund \- Nachbericht\n",
+    r"Korrekturbefund/Nachbericht\n",
+    r"Klinische Angabe(?:n)?(?: \(.*?\))?:?\n",
+    r"Schnellschnittgewebe zu .*?:\n",
+    r"Makroskopie:\n",
+)
 
 DEFAULT = Letterhead(
-    gate=r"Institut für (?:Pathologie|Neuropathologie|Radiologie)",
-    kinds=(r"Korrekturbefund\n", r"Nachbericht:\n", r"Befundbericht\n", r"Klinische Angaben?:?\n", r"Makroskopie:\n"),
+    gate=r"Institut für (?:Pathologie und Neuropathologie|Pathologie|Neuropathologie|Radiologie)",
+    kinds=HEADINGS,
     finals=((r"Kein Anhalt für Malignität.(?=\s*\n)", True), (r"\n(?=Univ\.|Prof\.|PD |Dr\.)", True)),
 )
 
@@ -34,9 +58,18 @@ DEFAULT = Letterhead(
 def letterhead_spans(text: Column, rules: Letterhead = DEFAULT) -> Column:
     """``array<struct<begin, end>>`` in order; empty where the text is no letter
     of this kind, or lacks a heading or a tail (instead of failing)."""
+    return F.when(text.rlike(rules.gate), _spans_of_letter(text, rules)).otherwise(F.expr("cast(array() as array<struct<begin:int,end:int>>)"))
+
+
+def _spans_of_letter(text: Column, rules: Letterhead) -> Column:
     n = F.length(text)
     none = F.expr("cast(array() as array<struct<begin:int,end:int>>)")
-    first = F.coalesce(*[F.try_element_at(find_spans(text, k), F.lit(1)) for k in rules.kinds])
+    # a heading is searched for only where the text has it
+    heading = F.coalesce(*[F.when(text.rlike(k), F.try_element_at(find_spans(text, k), F.lit(1))) for k in rules.kinds])
+    return _let(heading, lambda first: _around_body(text, rules, n, none, first))
+
+
+def _around_body(text: Column, rules: Letterhead, n: Column, none: Column, first: Column) -> Column:
     lasts = [F.try_element_at(find_spans(text, p), F.lit(-1)) for p, _ in rules.finals]
     tail_at = F.coalesce(*[(s["end"] if after else s["begin"]) for s, (_, after) in zip(lasts, rules.finals)])
     head = F.struct(F.lit(0).alias("begin"), first["begin"].alias("end"))
@@ -48,7 +81,7 @@ def letterhead_spans(text: Column, rules: Letterhead = DEFAULT) -> Column:
     joined = F.concat(F.slice(body, 1, F.size(body) - 1), F.array(F.struct(F.least(end["begin"], tail_at).alias("begin"), n.alias("end"))))
     whole = F.when(touches(tail_at, n, end["begin"], end["end"]), joined).otherwise(F.concat(body, F.array(F.struct(tail_at.alias("begin"), n.alias("end")))))
     only_head = F.array(head)
-    is_one = text.rlike(rules.gate) & first.isNotNull()
+    is_one = first.isNotNull()
     return F.when(is_one & (first["end"] == n), only_head).when(is_one & tail_at.isNotNull(), whole).otherwise(none)
 
 

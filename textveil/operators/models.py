@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textveil.functions.spans import touches
+from textveil.functions.spans import _let, find_spans, touches
 from textveil.operators.detect import IMAGE
 
 # Forms of address that a name takes in, and study words that are none.
@@ -81,10 +81,24 @@ def study_span(text: Column, begin: Column, end: Column) -> Column:
     return F.when(~skip, F.struct(F.greatest(lo, F.lit(0)).alias("begin"), hi.alias("end")))
 
 
+def match_arrays(sup: Column, sub: Column) -> Column:
+    """As :func:`match_outer` for the span arrays of one row: ``array<struct<a, b>>``.
+
+    In order: each span of ``sup`` with all of ``sub`` it touches, then the spans
+    of ``sup`` alone, then those of ``sub`` alone (their other side is null).
+    """
+    touch = lambda a, b: touches(a["begin"], a["end"], b["begin"], b["end"])
+    pair = lambda a, b: F.struct(a.alias("a"), b.alias("b"))
+    no_sup = F.get(sup, F.lit(-1))
+    no_sub = F.get(sub, F.lit(-1))
+    pairs = F.flatten(F.transform(sup, lambda a: F.transform(F.filter(sub, lambda b: touch(a, b)), lambda b: pair(a, b))))
+    alone_a = F.transform(F.filter(sup, lambda a: ~F.exists(sub, lambda b: touch(a, b))), lambda a: pair(a, no_sub))
+    alone_b = F.transform(F.filter(sub, lambda b: ~F.exists(sup, lambda a: touch(a, b))), lambda b: pair(no_sup, b))
+    return F.concat(pairs, alone_a, alone_b)
+
+
 def split_staff(covered: Column) -> Column:
     """The ``X. Surname`` parts of a run of staff names."""
-    from textveil.functions.spans import find_spans
-
     return find_spans(covered, r"[A-ZÖÄÜ]\.\s[A-ZÖÄÜ][a-zöäüß]+")
 
 
@@ -95,19 +109,26 @@ def trim_span(covered: Column, begin: Column, end: Column) -> Column:
     return F.when(covered.rlike("[^ ]"), F.struct((begin + left).alias("begin"), (end - right).alias("end"))).otherwise(F.struct(begin.alias("begin"), begin.alias("end")))
 
 
-def clean_spans(found: DataFrame, text: str) -> DataFrame:
-    """Rule spans ``(.., begin, end, sub_class, covered)`` beside their ``text``, as the
-    radiology set is applied: spaces trimmed, study names fixed or dropped, runs
-    of staff split into ``X. Surname`` parts (a run without any gives none).
+def clean_spans(text: Column, spans: Column) -> Column:
+    """Rule spans of a text as the radiology set is applied: spaces trimmed, study
+    names fixed or dropped, runs of staff split into ``X. Surname`` parts (a run
+    without any gives none).
 
     The parts take the place of their run: ``seq`` is spread and counts up in order.
     """
-    t = found.withColumn("_t", trim_span(F.col("covered"), F.col("begin"), F.col("end"))).withColumns({"begin": F.col("_t.begin"), "end": F.col("_t.end")}).drop("_t")
-    one = lambda b, e: F.array(F.struct(b.cast("int").alias("begin"), e.cast("int").alias("end")))
-    covered = F.col(text).substr(F.col("begin") + 1, F.col("end") - F.col("begin"))
-    names = F.transform(split_staff(covered), lambda s: F.struct((F.col("begin") + s["begin"]).cast("int").alias("begin"), (F.col("begin") + s["end"]).cast("int").alias("end")))
-    study = study_span(F.col(text), F.col("begin"), F.col("end"))
-    parts = F.when(F.col("sub_class") == "STAFF", names).when(F.col("sub_class") == "STUDYID", F.when(study.isNotNull(), one(study["begin"], study["end"]))).otherwise(one(F.col("begin"), F.col("end")))
-    out = t.select("*", F.posexplode(parts).alias("_i", "_s"))
-    out = out.withColumns({"begin": F.col("_s.begin"), "end": F.col("_s.end"), "seq": F.col("seq") * 1_000_000 + F.col("_i")})
-    return out.withColumn("covered", covered).drop("_i", "_s")
+
+    def parts(s: Column, t: Column) -> Column:
+        b, e = t["begin"], t["end"]
+        one = lambda b, e: F.array(F.struct(b.cast("int").alias("begin"), e.cast("int").alias("end")))
+        names = F.transform(split_staff(text.substr(b + 1, e - b)), lambda x: F.struct((b + x["begin"]).cast("int").alias("begin"), (b + x["end"]).cast("int").alias("end")))
+        study = lambda x: F.when(x.isNotNull(), one(x["begin"], x["end"])).otherwise(F.expr("cast(array() as array<struct<begin:int,end:int>>)"))
+        return F.when(s["sub_class"] == "STAFF", names).when(s["sub_class"] == "STUDYID", _let(study_span(text, b, e), study)).otherwise(one(b, e))
+
+    def cleaned(s: Column) -> Column:
+        covered = text.substr(s["begin"] + 1, s["end"] - s["begin"])
+        return F.transform(
+            _let(trim_span(covered, s["begin"], s["end"]), lambda t: parts(s, t)),
+            lambda p, i: F.struct((s["seq"] * 1_000_000 + i).alias("seq"), p["begin"].alias("begin"), p["end"].alias("end"), s["main_class"].alias("main_class"), s["sub_class"].alias("sub_class"), s["score"].alias("score"), s["source"].alias("source")),
+        )
+
+    return F.flatten(F.transform(spans, cleaned))

@@ -7,8 +7,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textveil.functions import dates
-from textveil.functions.spans import fold_longest, fold_merge, stitch
+from textveil.functions.spans import _let, fold_longest, fold_merge, stitch
 from textveil.operators.detect import Detector, detect_arrays
+from textveil.operators.models import clean_spans
 
 METHODS = ("keep", "redact", "replace", "shift", "substitute")
 
@@ -52,13 +53,13 @@ def replacement(s: Column, covered: Column, method: Column, *, days: Column | No
     wrong = out_tag(F.concat(main, F.lit("_WRONG")))
     shifted = out_tag(full)
     if days is not None:
-        moved = dates.shift_date(covered, days)
         birth = F.lit("Date") if only_superclass else F.lit("Date_BIRTHDATE")
-        as_date = F.when(moved["written"].isNull(), wrong).when(moved["old"] & F.lit(guard), out_tag(birth)).otherwise(plain(moved["written"]))
+        as_date = _let(dates.shift_date(covered, days), lambda moved: F.when(moved["written"].isNull(), wrong).when(moved["old"] & F.lit(guard), out_tag(birth)).otherwise(plain(moved["written"])))
         as_birth = F.coalesce(plain(dates.shift_birthdate(covered, days, years if years is not None else F.lit(0))), wrong)
-        shifted = F.when(sub == "BIRTHDATE", as_birth).when(sub == "DATE", as_date).otherwise(shifted)
+        # without an offset nothing is shifted: the tag stands
+        shifted = F.when(days.isNull(), shifted).when(sub == "BIRTHDATE", as_birth).when(sub == "DATE", as_date).otherwise(shifted)
     if years is not None:
-        shifted = F.when(main == "Age", F.coalesce(plain(dates.shift_age(covered, years)), wrong)).otherwise(shifted)
+        shifted = F.when((main == "Age") & years.isNotNull(), F.coalesce(plain(dates.shift_age(covered, years)), wrong)).otherwise(shifted)
     named = out_tag(full)
     if last is not None:
         fake = substitute_name(covered, first if first is not None else F.lit(""), last)
@@ -79,12 +80,21 @@ def rewrite(df: DataFrame, text: str, spans: str, policy: dict[str, dict[str, st
     return df.withColumn(into, stitch(t, F.transform(F.col(spans), part)))
 
 
-def deidentify(df: DataFrame, key: str, text: str, detectors: tuple[Detector, ...], policy: dict[str, dict[str, str]] | None = None, merge: bool = False, **options) -> DataFrame:
+def deidentify(df: DataFrame, key: str, text: str, detectors: tuple[Detector, ...], policy: dict[str, dict[str, str]] | None = None, merge: bool = False, clean: bool = False, source: str = "rules", **options) -> DataFrame:
     """Detect, resolve, rewrite and stitch: ``(key, deid_text, n_entities)``.
 
-    One scan, no shuffle, no Python: all of it happens within a row.
+    One scan, no shuffle, no Python: all of it happens within a row.  ``clean``
+    trims and splits the rule spans before they are resolved
+    (:func:`textveil.operators.models.clean_spans`).  ``days`` and ``years`` may
+    be columns of ``df``; a row whose offset is null keeps the tags of its dates.
     """
-    found = detect_arrays(df.select(key, text), text, detectors, "rules")
-    resolved = found.withColumn("spans", (fold_merge if merge else fold_longest)(F.col("spans")))
-    out = rewrite(resolved, text, "spans", policy or {}, **options)
+    out = rewrite(annotate(df, text, detectors, merge, clean, source), text, "spans", policy or {}, **options)
     return out.select(key, "deid_text", F.size("spans").cast("bigint").alias("n_entities"))
+
+
+def annotate(df: DataFrame, text: str, detectors: tuple[Detector, ...], merge: bool = False, clean: bool = False, source: str = "rules") -> DataFrame:
+    """``df`` with the resolved annotations of each text as ``spans``."""
+    found = detect_arrays(df, text, detectors, source)
+    if clean:
+        found = found.withColumn("spans", clean_spans(F.col(text), F.col("spans")))
+    return found.withColumn("spans", (fold_merge if merge else fold_longest)(F.col("spans")))

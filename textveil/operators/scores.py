@@ -8,18 +8,19 @@ from pyspark.sql import functions as F
 STRATEGIES = ("none", "simple", "first", "average", "max", "any_max", "any_average", "any_first", "exact", "sentence_max", "sentence_average", "sentence_first")
 
 
+def check_strategy(strategy: str, unfit: tuple[str, ...] = ()) -> None:
+    """Raises where the name is unknown, or begins like one that does not fit."""
+    if strategy not in STRATEGIES:
+        raise ValueError(f"unknown strategy {strategy}")
+    if strategy.startswith(unfit or ("\0",)):
+        raise ValueError(f"{strategy} does not work on words; see token_scores and sentence_scores")
+
+
 def argmax(row: Column) -> Column:
     """Place (from 0) of the largest score, the first of equals."""
     return (F.array_position(row, F.array_max(row)) - 1).cast("int")
 
 
-def _mean(rows: Column) -> Column:
-    n = F.size(rows)
-    start = F.transform(rows[0], lambda x: F.lit(0.0))
-    total = F.aggregate(rows, start, lambda acc, r: F.zip_with(acc, r, lambda a, b: a + b.cast("double")))
-    return F.transform(total, lambda x: x / n)
-
-
 def word_score(rows: Column, strategy: str, compat: bool = False) -> Column:
     """``struct<idx, score>`` of a word from the scores of its pieces.
 
@@ -27,15 +28,14 @@ def word_score(rows: Column, strategy: str, compat: bool = False) -> Column:
     else only pieces that say something else count.  ``compat`` reads the score
     of ``any_max`` from the piece of the same number among all pieces.
     """
-    if strategy not in STRATEGIES:
-        raise ValueError(f"unknown strategy {strategy}")
+    check_strategy(strategy)
     kind = strategy.split("_")[-1]
     telling = F.filter(rows, lambda r: argmax(r) > 0)
     use = F.when(F.size(telling) > 0, telling).otherwise(rows) if strategy.startswith("any_") else rows
     if kind == "first":
         idx, score = argmax(use[0]), F.array_max(use[0])
     elif kind == "average":
-        idx, score = argmax(_mean(use)), F.array_max(_mean(use))
+        idx, score = argmax(_nan_mean(use)), F.array_max(_nan_mean(use))
     else:
         best = F.array_max(F.transform(use, lambda r: F.array_max(r)))
         row = F.array_position(F.transform(use, lambda r: F.array_max(r)), best)
@@ -48,8 +48,45 @@ def word_score(rows: Column, strategy: str, compat: bool = False) -> Column:
     return F.struct(idx.alias("idx"), score.cast("double").alias("score"))
 
 
+def _nan_mean(rows: Column) -> Column:
+    """Mean per class over the pieces whose score is a number."""
+    at = F.sequence(F.lit(0), F.size(F.get(rows, F.lit(0))) - 1)
+
+    def one(k: Column) -> Column:
+        real = F.filter(F.transform(rows, lambda r: F.get(r, k).cast("double")), lambda x: ~F.isnan(x))
+        return F.aggregate(real, F.lit(0.0), lambda a, x: a + x) / F.nullif(F.size(real), F.lit(0))
+
+    return F.transform(at, one)
+
+
+def token_scores(pieces: DataFrame, keys: list[str], scores: str) -> DataFrame:
+    """Strategies ``none``, ``simple`` and ``exact``: each piece by itself, ``keys, idx, score``."""
+    return pieces.select(*keys, argmax(F.col(scores)).alias("idx"), F.array_max(scores).cast("double").alias("score"))
+
+
+def sentence_scores(pieces: DataFrame, key: str, order: str, scores: str, labels: list[str], strategy: str, subword: str, compat: bool = False) -> DataFrame:
+    """Strategies ``sentence_*``: runs of pieces that go on, scored as one word.
+
+    A piece goes on where the piece before has its label and it is a sub-word,
+    or both are I, or both are O; or where an I follows the B of its name.
+    ``(key, first, last, idx, score)``; ``first`` and ``last`` are of ``order``.
+    """
+    w = Window.partitionBy(key).orderBy(order)
+    name = F.get(F.array(*[F.lit(x) for x in labels]), argmax(F.col(scores)))
+    df = pieces.select(key, order, scores, F.col(subword).alias("_sub"), name.alias("_l")).withColumn("_p", F.lag("_l").over(w))
+    same = F.col("_l") == F.col("_p")
+    goes_on = (same & (F.col("_sub") | F.col("_p").startswith("I-") | (F.col("_p") == "O"))) | (F.col("_p").startswith("B-") & (F.col("_l") == F.concat(F.lit("I-"), F.substring("_p", 3, 1_000_000))))
+    df = df.withColumn("_g", F.sum((~F.coalesce(goes_on, F.lit(False))).cast("int")).over(w))
+    runs = df.groupBy(key, "_g").agg(F.min(order).alias("first"), F.max(order).alias("last"), F.transform(F.array_sort(F.collect_list(F.struct(order, scores))), lambda x: x[scores]).alias("rows"))
+    return runs.select(key, "first", "last", word_score(F.col("rows"), strategy.split("_", 1)[1], compat).alias("w")).select(key, "first", "last", "w.idx", "w.score")
+
+
 def words_from_pieces(pieces: DataFrame, keys: list[str], order: str, scores: str, strategy: str, compat: bool = False) -> DataFrame:
-    """One row per word: ``keys, idx, score``.  ``pieces`` has a row per sub-token."""
+    """One row per word: ``keys, idx, score``.  ``pieces`` has a row per sub-token.
+
+    Strategies that score single pieces or runs of words have functions of their own.
+    """
+    check_strategy(strategy, ("none", "simple", "exact", "sentence_"))
     rows = pieces.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct(order, scores))), lambda x: x[scores]).alias("rows"))
     return rows.select(*keys, word_score(F.col("rows"), strategy, compat).alias("w")).select(*keys, "w.idx", "w.score")
 

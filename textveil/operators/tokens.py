@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textveil.functions.spans import find_spans
+from textveil.functions.spans import find_spans, spread
 
+#: A token of white-space tokenisation.
+WORD = r"(?U)\S+"
 SUBTOKEN = r"(?U)[\wäöüßÄÜÖ]+|[^\s\w]+"
 
 
@@ -19,7 +19,7 @@ def tokens(df: DataFrame, key: str, text: str, compat: bool = False) -> DataFram
     inference does; the default covers the whole text.
     """
     t = F.col(text).substr(F.lit(1), F.length(text) - 1) if compat else F.col(text)
-    out = df.select(key, F.posexplode(find_spans(t, r"(?U)\S+")).alias("pos", "t"))
+    out = df.select(key, F.posexplode(find_spans(t, WORD)).alias("pos", "t"))
     return out.select(key, "pos", F.col("t.begin").alias("begin"), F.col("t.end").alias("end"), F.col("t.covered").alias("token"))
 
 
@@ -43,7 +43,7 @@ def chunks(df: DataFrame, key: str, text: str, size: int = 50, overlap: int = 10
     """
     if size <= 0 or overlap < 0:
         raise ValueError("size must be positive and overlap not negative")
-    words = df.select(key, F.col(text).alias("fulltext"), find_spans(F.col(text), r"(?U)\S+").alias("w"))
+    words = df.select(key, F.col(text).alias("fulltext"), find_spans(F.col(text), WORD).alias("w"))
     ranged = words.select(key, "fulltext", "w", F.ceil(F.size("w") / F.lit(size)).cast("int").alias("num_parts"), F.explode(chunk_ranges(F.size("w"), size, overlap)).alias("r"))
     first, last = F.element_at("w", F.col("r.first") + 1), F.element_at("w", F.col("r.last") + 1)
     return ranged.select(
@@ -62,30 +62,62 @@ def label_list(names: list[str]) -> list[str]:
     return ["O", *(f"{p}-{n}" for n in sorted(names) for p in "BI")]
 
 
-def bio_labels(toks: DataFrame, annotations: DataFrame, key: str) -> DataFrame:
-    """Tokens split at the edges of annotations, with BIO tags.
+def labelled_tokens(text: Column, spans: Column) -> Column:
+    """White-space tokens with BIO tags: ``array<struct<begin, end, token, label, name>>``.
 
-    ``(key, begin, end, token, label)``: a token (or the part of one) inside an
-    annotation is B where it begins the annotation, else I; others are O.
-    Annotations of a document must be disjoint (resolve them first).
+    Text between annotations and the annotations themselves are tokenised one
+    after the other, so tokens end at the edges of annotations; the first token
+    of an annotation is B, the others I, those between are O (null ``name``).
+    ``spans(begin, end, main_class, sub_class)`` must be disjoint and in order
+    (resolve them first); a null text or array gives null.
     """
-    a = annotations.select(key, F.col("begin").alias("ab"), F.col("end").alias("ae"), F.concat_ws("_", "main_class", "sub_class").alias("name"))
-    hit = (F.col("ab") < F.col("end")) & (F.col("ae") > F.col("begin"))
-    j = toks.join(a, key, "left").where(hit | F.col("ab").isNull())
-    with_none = toks.join(j.select(key, "pos").distinct(), [key, "pos"], "left_anti").select(key, "pos", "begin", "end", "token", F.lit(None).cast("int").alias("ab"), F.lit(None).cast("int").alias("ae"), F.lit(None).cast("string").alias("name"))
-    per = j.select(key, "pos", "begin", "end", "token", "ab", "ae", "name").unionByName(with_none).groupBy(key, "pos", "begin", "end", "token")
-    hits = per.agg(F.array_sort(F.collect_list(F.when(F.col("ab").isNotNull(), F.struct("ab", "ae", "name")))).alias("h"))
 
-    def step(acc: Column, x: Column) -> Column:
-        lo, hi = F.greatest(x["ab"], F.col("begin")), F.least(x["ae"], F.col("end"))
-        gap = F.when(lo > acc["pos"], F.array(F.struct(acc["pos"].alias("b"), lo.alias("e"), F.lit("O").alias("l")))).otherwise(F.expr("cast(array() as array<struct<b:int,e:int,l:string>>)"))
-        tag = F.concat(F.when(x["ab"] >= F.col("begin"), "B-").otherwise("I-"), x["name"])
-        return F.struct(hi.alias("pos"), F.concat(acc["out"], gap, F.array(F.struct(lo.alias("b"), hi.alias("e"), tag.alias("l")))).alias("out"))
+    def cut(b: Column, e: Column, name: Column) -> Column:
+        label = lambda i: F.when(name.isNull(), "O").otherwise(F.concat(F.when(i == 0, "B-").otherwise("I-"), name))
+        return F.transform(find_spans(text.substr(b + 1, e - b), WORD), lambda t, i: F.struct((b + t["begin"]).alias("begin"), (b + t["end"]).alias("end"), t["covered"].alias("token"), label(i).alias("label"), name.alias("name")))
+
+    part = lambda b, e, name: F.struct(b.cast("int").alias("b"), e.cast("int").alias("e"), name.alias("name"))
+    none = F.lit(None).cast("string")
+    before = F.concat(F.array(F.lit(0)), F.transform(spans, lambda s: s["end"]))
+    of = F.flatten(F.zip_with(F.slice(before, 1, F.size(spans)), spans, lambda b, s: F.array(part(b, s["begin"], none), part(s["begin"], s["end"], F.concat_ws("_", s["main_class"], s["sub_class"])))))
+    parts = F.concat(of, F.array(part(F.element_at(before, -1), F.length(text), none)))
+    return F.flatten(F.transform(parts, lambda p: cut(p["b"], p["e"], p["name"])))
+
+
+def bio_labels(df: DataFrame, key: str, text: str, spans: str) -> DataFrame:
+    """``(key, begin, end, token, label)``: a row per token of :func:`labelled_tokens`; no shuffle."""
+    return spread(df.select(key, labelled_tokens(F.col(text), F.col(spans)).alias("t")), "t", key).select(key, "s.begin", "s.end", "s.token", "s.label")
 
-    start = F.struct(F.col("begin").alias("pos"), F.expr("cast(array() as array<struct<b:int,e:int,l:string>>)").alias("out"))
-    tail = lambda acc: F.when(acc["pos"] < F.col("end"), F.concat(acc["out"], F.array(F.struct(acc["pos"].alias("b"), F.col("end").alias("e"), F.lit("O").alias("l"))))).otherwise(acc["out"])
-    parts = hits.select(key, "begin", "token", F.explode(F.aggregate("h", start, step, tail)).alias("p"))
-    return parts.select(key, F.col("p.b").alias("begin"), F.col("p.e").alias("end"), F.col("token").substr(F.col("p.b") - F.col("begin") + 1, F.col("p.e") - F.col("p.b")).alias("token"), F.col("p.l").alias("label"))
+
+def sub_labels(word: Column) -> Column:
+    """A labelled token as its word and punctuation runs: the first keeps B, later ones are I."""
+    tag = lambda i: F.when((i > 0) & word["label"].startswith("B-"), F.concat(F.lit("I-"), word["name"])).otherwise(word["label"])
+    return F.transform(find_spans(word["token"], SUBTOKEN), lambda t, i: F.struct((word["begin"] + t["begin"]).alias("begin"), (word["begin"] + t["end"]).alias("end"), t["covered"].alias("token"), tag(i).alias("label"), word["name"].alias("name")))
+
+
+def labelled_chunks(df: DataFrame, key: str, text: str, spans: str, size: int = 50, overlap: int = 10, subwords: bool = False) -> DataFrame:
+    """Dataset rows: ``(key, num_parts, part_id, part_start, part_end, text,
+    fulltext, tokens, tags_superclass, tags_subclass)``.
+
+    Chunks are ranges of :func:`labelled_tokens`, cut within the row.  The
+    superclass of a tag is what stands before its underscore.  With ``subwords``
+    tokens and tags are those of the sub-tokens of the chunk's words.
+    """
+    if size <= 0 or overlap < 0:
+        raise ValueError("size must be positive and overlap not negative")
+    words = df.select(key, F.col(text).alias("fulltext"), labelled_tokens(F.col(text), F.col(spans)).alias("w"))
+    ranged = words.select(key, "fulltext", "w", F.ceil(F.size("w") / F.lit(size)).cast("int").alias("num_parts"), chunk_ranges(F.size("w"), size, overlap).alias("_r"))
+    c = spread(ranged, "_r", key, "fulltext", "w", "num_parts").withColumn("_w", F.slice("w", F.col("s.first") + 1, F.col("s.last") - F.col("s.first") + 1))
+    first, last = F.element_at("_w", 1), F.element_at("_w", -1)
+    own = F.flatten(F.transform("_w", sub_labels)) if subwords else F.col("_w")
+    c = c.select(key, "num_parts", F.col("s.part").alias("part_id"), first["begin"].alias("part_start"), last["end"].alias("part_end"), "fulltext", own.alias("_w"))
+    return c.select(
+        key, "num_parts", "part_id", "part_start", "part_end",
+        F.col("fulltext").substr(F.col("part_start") + 1, F.col("part_end") - F.col("part_start")).alias("text"), "fulltext",
+        F.transform("_w", lambda t: t["token"]).alias("tokens"),
+        F.transform("_w", lambda t: F.regexp_replace(t["label"], "_.*$", "")).alias("tags_superclass"),
+        F.transform("_w", lambda t: t["label"]).alias("tags_subclass"),
+    )
 
 
 def align_subword_labels(labels: Column, word_ids: Column, label_all: bool = True) -> Column:
@@ -108,11 +140,12 @@ def masked(labels: Column, predictions: Column) -> Column:
     return F.filter(F.arrays_zip(labels.alias("label"), predictions.alias("pred")), lambda x: x["label"] > -100)
 
 
+def names_of(ids: Column, names: list[str]) -> Column:
+    """Label numbers as their names; null for a number without one."""
+    return F.transform(ids, lambda i: F.get(F.array(*[F.lit(n) for n in names]), i))
+
+
 def islands(df: DataFrame, key: str, order: str, tag: str, breaks: Column) -> DataFrame:
     """``df`` with ``island``: the running number of groups, a new one where ``breaks`` holds."""
     w = Window.partitionBy(key).orderBy(order)
     return df.withColumn("_b", F.coalesce(breaks, F.lit(True)).cast("int")).withColumn("island", F.sum("_b").over(w)).drop("_b")
-
-
-def n_chunks(n: int, size: int) -> int:
-    return math.ceil(n / size)

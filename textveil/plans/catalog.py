@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textveil.functions import dates
-from textveil.functions.spans import find_spans, fold_longest, fold_merge
+from textveil.functions.spans import find_spans, fold_longest, fold_merge, spread
 from textveil.operators import corpus, detect, evaluate, letterhead, models, rewrite, scores, similarity, textstats, tokens
+from textveil.session import cut
 
 Q = {}
 
@@ -24,11 +25,15 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, d: str, name: str) -> DataFrame:
-    """A table for work within rows: spread out where its files are too few to
-    keep all cores busy (one small file), as they lie otherwise."""
+    """A table for work within rows.
+
+    A table of a few small files (as in tests) is read by a few tasks, as files
+    of one row group don't split; its rows are spread over the cores.  Tables
+    with as many splits as half the cores are read as they lie, without a shuffle.
+    """
     df = table(spark, d, name)
     cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) * 2 < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 < cores else df
 
 
 def reports(spark: SparkSession, d: str) -> DataFrame:
@@ -70,11 +75,10 @@ def detect_radiology_rules(spark, d):
 @query
 def detect_radiology(spark, d):
     """The radiology set as applied: spaces trimmed, study names fixed, staff runs split.
-    ``detect_radiology_rules`` has the raw rule spans that the SQL restates."""
-    r = reports(spark, d)
-    found = detect.detect_arrays(r.select("doc", "text"), "text", detect.RADIOLOGY, "rules").select("doc", "text", F.explode("spans").alias("s")).select("doc", "text", "s.*")
-    found = found.withColumn("covered", F.col("text").substr(F.col("begin") + 1, F.col("end") - F.col("begin")))
-    return _out(models.clean_spans(found, "text").select("doc", "seq", "begin", "end", "main_class", "sub_class", "covered"))
+    ``detect_radiology_rules`` has the raw rule spans."""
+    df = detect.detect_arrays(reports(spark, d).select("doc", "text"), "text", detect.RADIOLOGY, "radio-regex")
+    found = spread(df.withColumn("spans", models.clean_spans(F.col("text"), F.col("spans"))), "spans", "doc", "text").select("doc", "text", "s.*")
+    return _out(found.select("doc", "seq", "begin", "end", "main_class", "sub_class", F.col("text").substr(F.col("begin") + 1, F.col("end") - F.col("begin")).alias("covered")))
 
 
 @query
@@ -89,7 +93,7 @@ def detect_measures(spark, d):
 
 def _resolved(spark, d, fold) -> DataFrame:
     df = detect.detect_arrays(reports(spark, d).select("doc", "text"), "text", detect.CONTACTS + detect.RADIOLOGY, "rules")
-    return df.select("doc", F.explode(fold(F.col("spans"))).alias("s")).select("doc", "s.begin", "s.end", "s.main_class", "s.sub_class")
+    return spread(df.select("doc", fold(F.col("spans")).alias("spans")), "spans", "doc").select("doc", "s.begin", "s.end", "s.main_class", "s.sub_class")
 
 
 @query
@@ -103,23 +107,33 @@ def resolve_merge(spark, d):
 
 
 # --- two models ---------------------------------------------------------------
-def _two(spark, d) -> tuple[DataFrame, DataFrame]:
-    r = reports(spark, d)
-    sup = _spans(r, detect.RADIOLOGY).withColumn("i", F.col("seq"))
-    sub = _spans(r, detect.CONTACTS + detect.RADIOLOGY[1:4]).withColumn("i", F.col("seq"))
-    keep = ["doc", "i", "begin", "end", "main_class", "sub_class", "score"]
-    return sup.select(keep), sub.select(keep)
+def _two(spark, d) -> DataFrame:
+    """Two models' spans of each text, as arrays; what both have is found once."""
+    n = len(detect.CONTACTS)
+    df = detect.detect_arrays(reports(spark, d).select("doc", "text"), "text", detect.CONTACTS + detect.RADIOLOGY, "rules")
+    number = lambda s: F.floor(s["seq"] / 1_000_000)
+    again = lambda s, k: s.withField("seq", s["seq"] - F.lit(k * 1_000_000).cast("bigint"))
+    sup = F.transform(F.filter("spans", lambda s: number(s) >= n), lambda s: again(s, n))
+    sub = F.filter("spans", lambda s: (number(s) < n) | ((number(s) > n) & (number(s) < n + 4)))
+    # the rules 1 to 3 of the radiology set follow the contacts
+    sub = F.transform(sub, lambda s: F.when(number(s) > n, again(s, 1)).otherwise(s))
+    return df.select("doc", sup.alias("sup"), sub.alias("sub"))
+
+
+def _pairs(spark, d) -> DataFrame:
+    return spread(_two(spark, d).select("doc", models.match_arrays(F.col("sup"), F.col("sub")).alias("m")), "m", "doc")
 
 
 @query
 def match_models_outer(spark, d):
-    m = models.match_outer(*_two(spark, d), ["doc"])
-    return m.select("doc", F.col("a_i").alias("sup_seq"), F.col("b_i").alias("sub_seq"))
+    return _pairs(spark, d).select("doc", F.col("s.a.seq").alias("sup_seq"), F.col("s.b.seq").alias("sub_seq"))
 
 
 @query
 def merge_models(spark, d):
-    return _out(models.merge_models(models.match_outer(*_two(spark, d), ["doc"]), ["doc"]))
+    fields = ["begin", "end", "main_class", "sub_class", "score"]
+    flat = _pairs(spark, d).select("doc", F.col("s.a.seq").alias("a_i"), F.col("s.b.seq").alias("b_i"), *[F.col(f"s.{x}.{f}").alias(f"{x}_{f}") for x in "ab" for f in fields])
+    return _out(models.merge_models(flat, ["doc"]))
 
 
 # --- rewriting ----------------------------------------------------------------
@@ -187,16 +201,10 @@ def shift_dates(spark, d):
     return _dates(spark, d).select("doc", "covered", dates.shift_date(F.col("covered"), F.col("days"))["written"].alias("shifted"))
 
 
-@query
-def shift_birthdates_all(spark, d):
-    """Birth dates of all rows, in every shape; null where a year is missing or no date is there."""
-    return _dates(spark, d).select("doc", "covered", dates.shift_birthdate(F.col("covered"), F.col("days"), F.col("years")).alias("shifted"))
-
-
 @query
 def shift_birthdates(spark, d):
-    """The rows of the four shapes that the SQL restates; ``shift_birthdates_all`` has all."""
-    return _dates(spark, d).where("doc % 10 in (0, 1, 2, 8)").select("doc", "covered", dates.shift_birthdate(F.col("covered"), F.col("days"), F.col("years")).alias("shifted"))
+    """Birth dates in every shape; null where a year is missing or no date is there."""
+    return _dates(spark, d).select("doc", "covered", dates.shift_birthdate(F.col("covered"), F.col("days"), F.col("years")).alias("shifted"))
 
 
 @query
@@ -224,11 +232,12 @@ def offset_draw(spark, d):
 
 @query
 def offset_lookup(spark, d):
-    """Offsets of a table, one per patient; a patient without any keeps its dates' tags."""
-    offsets = table(spark, d, "customer").where("c_custkey % 3 <> 0").select(F.col("c_custkey").alias("patient"), offset_days(F.col("c_custkey")).alias("offset_days")).dropDuplicates(["patient"])
+    """Offsets of a table, one per patient; a patient without any keeps its dates' tags.
+    Every third customer's offset is null, as of a patient the table doesn't know."""
+    offsets = table(spark, d, "customer").select(F.col("c_custkey").alias("patient"), F.when(F.col("c_custkey") % 3 != 0, offset_days(F.col("c_custkey"))).alias("offset_days")).groupBy("patient").agg(F.min("offset_days").alias("offset_days"))
     j = _dates(spark, d).select("doc", "patient", "covered").join(offsets, "patient", "left")
-    moved = dates.shift_date(F.col("covered"), F.col("offset_days"))["written"]
-    return j.select("doc", F.when(F.col("offset_days").isNull(), F.lit("<Date_DATE>")).otherwise(F.coalesce(moved, F.lit("<Date_WRONG>"))).alias("shifted"))
+    s = F.struct(F.lit("Date").alias("main_class"), F.lit("DATE").alias("sub_class"))
+    return j.select("doc", rewrite.replacement(s, F.col("covered"), F.lit("shift"), days=F.col("offset_days"), guard=False).alias("shifted"))
 
 
 def _notes(spark, d) -> DataFrame:
@@ -268,28 +277,29 @@ def cut_letterhead(spark, d):
 
 
 # --- evaluation -------------------------------------------------------------------
-def _gold_pred(spark, d, level: int) -> tuple[DataFrame, DataFrame]:
-    r = reports(spark, d)
-    lab = evaluate.blind(F.col("main_class"), F.col("sub_class"), level)
-    gold = _spans(r, detect.CONTACTS + detect.RADIOLOGY[:6]).select("doc", lab.alias("label"), "begin", "end")
-    pred = _spans(r, detect.RADIOLOGY[:8]).select("doc", lab.alias("label"), "begin", "end")
-    return gold, pred
+def _matched(spark, d, level: int) -> DataFrame:
+    """Two detector sets as gold and prediction; what both hold is found once."""
+    n = len(detect.CONTACTS)
+    df = detect.detect_arrays(reports(spark, d).select("doc", "text"), "text", detect.CONTACTS + detect.RADIOLOGY[:8], "rules")
+    of = lambda ok: F.filter("spans", lambda s: ok(F.floor(s["seq"] / 1_000_000)))
+    df = df.select("doc", of(lambda k: k < n + 6).alias("gold"), of(lambda k: k >= n).alias("pred"))
+    return evaluate.matches_within(df, "doc", "gold", "pred", level)
 
 
 @query
 def strict_eval_summary(spark, d):
-    return evaluate.strict_summary(evaluate.matches(*_gold_pred(spark, d, 2)))
+    return evaluate.strict_summary(_matched(spark, d, 2))
 
 
 @query
 def strict_eval_only_type(spark, d):
-    return evaluate.strict_summary(evaluate.matches(*_gold_pred(spark, d, 1)))
+    return evaluate.strict_summary(_matched(spark, d, 1))
 
 
 @query
 def strict_eval_document(spark, d):
     docs = reports(spark, d).select("doc")
-    return evaluate.strict_by_document(evaluate.matches(*_gold_pred(spark, d, 1)), docs)
+    return evaluate.strict_by_document(_matched(spark, d, 1), docs)
 
 
 @query
@@ -320,9 +330,7 @@ def subtokens_bio(spark, d):
 
 @query
 def bio_labels(spark, d):
-    t = tokens.tokens(reports(spark, d), "doc", "text")
-    a = _resolved(spark, d, fold_longest)
-    return _out(tokens.bio_labels(t, a, "doc").where("label <> 'O'"))
+    return _out(tokens.bio_labels(rewrite.annotate(reports(spark, d).select("doc", "text"), "text", detect.CONTACTS + detect.RADIOLOGY), "doc", "text", "spans"))
 
 
 @query
@@ -380,19 +388,26 @@ def split_manifest(spark, d):
 
 @query
 def split_balanced(spark, d):
-    """The manifest after greedy balancing of label shares."""
-    spans = _patient_spans(spark, d).withColumn("label", F.concat_ws("_", "main_class", "sub_class"))
-    train = corpus.sample_patients(spans, "per_number", 80)
-    counts = [tuple(r) for r in spans.groupBy("per_number", "label").count().collect()]  # patients x labels
-    out = corpus.balance(counts, {r[0] for r in train.collect()})
-    kept = train.where(~F.col("per_number").isin(sorted(out))) if out else train
+    """Label shares after greedy balancing; the loop sees one row per (patient,
+    label), at most MAX_BALANCED of them."""
+    spans = cut(_patient_spans(spark, d).select("per_number", "main_class", "sub_class"))
+    train = cut(corpus.sample_patients(spans, "per_number", 80))
+    kept = corpus.balanced_patients(spans, train, "per_number")
     return corpus.train_share(corpus.train_test(spans, kept, "per_number"))
 
 
+# Spellings of the phases.
+TRAIN, EVALUATION = ("train", "training"), ("validation", "val", "valid", "dev", "test", "testing")
+
+
 @query
 def leak_flag(spark, d):
-    s = table(spark, d, "split_document").select("split_id", "patient_id", "phase")
-    return corpus.leak_flags(s.where("phase = 'train'").drop("phase"), s.where("phase = 'test'").drop("phase"), "patient_id")
+    """Rows with a phase, with whether their patient_id also stands on the other side:
+    training against all evaluation rows, whatever the spelling of the phase."""
+    low = F.lower(F.regexp_replace("phase", r"(?U)^\s+|\s+$", ""))
+    s = table(spark, d, "split_document").select("split_id", "patient_id", low.alias("phase"))
+    train, test = (s.where(F.col("phase").isin(*names)).drop("phase") for names in (TRAIN, EVALUATION))
+    return corpus.leak_flags(train, test, "patient_id")
 
 
 @query
@@ -403,9 +418,11 @@ def patient_enrichment(spark, d):
 
 # --- scores ------------------------------------------------------------------------------
 def _pieces(spark, d) -> DataFrame:
+    """Score vectors of five classes: of the components of an embedding, each
+    class has the largest of every fifth, so all of them count."""
     e = table(spark, d, "embeddings")
-    five = F.transform(F.slice("embedding", 1, 5), lambda x: F.abs(x).cast("double"))
-    return e.select(F.floor(F.col("vec_id") / 64).alias("doc"), F.floor(F.col("vec_id") / 4).alias("word"), "vec_id", five.alias("scores"))
+    of = lambda c: F.array_max(F.filter(F.transform("embedding", lambda x, i: F.when(i % 5 == c, F.abs(x).cast("double"))), lambda x: x.isNotNull()))
+    return e.select(F.floor(F.col("vec_id") / 64).alias("doc"), F.floor(F.col("vec_id") / 4).alias("word"), "vec_id", F.array(*[of(c) for c in range(5)]).alias("scores"))
 
 
 def _words(spark, d, strategy) -> DataFrame:

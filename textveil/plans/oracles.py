@@ -31,23 +31,27 @@ def spans(src: str, detectors, key: str = "doc", text: str = "text") -> str:
     return "(" + " union all ".join(parts) + ")"
 
 
-def resolved(src: str, detectors, merge: bool = False) -> str:
-    """The greedy fold as nested list_reduce: (doc, b, e, mc, sc)."""
+def folded(found: str, merge: bool = False, src: str = "rules") -> str:
+    """The greedy fold of found spans (doc, seq, b, e, mc, sc) as nested list_reduce: (doc, b, e, seq, mc, sc, src)."""
     clash = "list_sort(list_filter(acc, lambda s: s.e > x[1].b and s.b < x[1].e))"
     rest = "list_filter(acc, lambda s: not (s.e > x[1].b and s.b < x[1].e))"
     if merge:
         one = (
             f"case when len({clash}) = 0 then x[1] else struct_pack(b := least(x[1].b, list_min(list_transform({clash}, lambda s: s.b))), e := greatest(x[1].e, list_max(list_transform({clash}, lambda s: s.e))),"
-            f" seq := x[1].seq, mc := {clash}[-1].mc, sc := {clash}[-1].sc) end"
+            f" seq := x[1].seq, mc := {clash}[-1].mc, sc := {clash}[-1].sc, src := 'Merge overlapping entities') end"
         )
     else:
         one = f"list_reduce(list_concat([x[1]], {clash}), lambda c, k: case when k.e - k.b > c.e - c.b then k else c end)"
     return (
         f"(select doc, unnest(kept, recursive := true) from (select doc, list_reduce(list_transform(l, lambda y: [y]), lambda acc, x: list_concat({rest}, [{one}])) as kept from ("
-        f"select doc, list(struct_pack(b := b, e := e, seq := seq, mc := mc, sc := sc) order by seq) as l from {spans(src, detectors)} a group by doc)))"
+        f"select doc, list(struct_pack(b := b, e := e, seq := seq, mc := mc, sc := sc, src := '{src}') order by seq) as l from {found} a group by doc)))"
     )
 
 
+def resolved(src: str, detectors, merge: bool = False) -> str:
+    return folded(spans(src, detectors), merge)
+
+
 def stitched(src: str, found: str, sub: str) -> str:
     """Texts with each found span replaced by the expression ``sub`` (over mc, sc, covered)."""
     return f"""
@@ -100,6 +104,18 @@ def _moved(days: str) -> str:
       when 4 then strftime({short}, '%d.%m.') when 5 then strftime({new}, '%d') || '. ' || {_MONTHS}[month({new})] || ' ' || year({new}) when 6 then covered when 7 then strftime({first}, '%d.') when 8 then strftime({new}, '%d/%m/%Y') end"""
 
 
+def _birthdate() -> str:
+    """DATES with the year replaced, then moved, by shape."""
+    at = lambda base, form: f"strftime(case when ({base}) is not null then try_strptime(lpad((year({base}) + years)::varchar, 4, '0') || strftime({base}, '-%m-%d'), '%Y-%m-%d')::date + days end, '{form}')"
+    short = "try_strptime(covered || '1900', '%d.%m.%Y')::date"
+    first = "try_strptime(covered || '01.1900', '%d.%m.%Y')::date"
+    # a month and year without separators between three numbers is read as day, month and year: 12.1995 as the first of February
+    odd = "case when month(day) > 10 then make_date(year(day), month(day) - 10, 1) end"
+    named = f"(case when try_strptime((year(day) + years) || strftime(day, '-%m-%d'), '%Y-%m-%d') is not null then try_strptime((year(day) + years) || strftime(day, '-%m-%d'), '%Y-%m-%d')::date + days end)"
+    return f"""case k when 0 then {at('day', '%d.%m.%Y')} when 1 then {at('day', '%d.%m.%Y')} when 2 then {at('day', '%Y-%m-%d')} when 3 then {at('day', '%d.%m.%y')} when 4 then {at(short, '%d.%m.')}
+      when 5 then strftime({named}, '%d') || '. ' || {_MONTHS}[month({named})] || ' ' || year({named}) when 6 then {at(odd, '%d%m.%Y')} when 7 then {at(first, '%d.')} when 8 then {at('day', '%d/%m/%Y')} end"""
+
+
 def _hash(x: str) -> str:
     return f"('0x' || substr(md5({x}::varchar), 1, 8))::bigint"
 
@@ -113,7 +129,7 @@ NOTES = """(select o_orderkey as doc, o_custkey as patient, 'Institut für Patho
   from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey)"""
 
 _WORDS = "(select doc, u.i - 1 as pos, mm[u.i] as token, sum(length(gg[u.i]) + length(mm[u.i])) over (partition by doc order by u.i) as e from (select doc, regexp_extract_all(text, '\\S+') as mm, regexp_split_to_array(text, '\\S+') as gg from " + REPORTS + " r) z, unnest(range(1, len(mm) + 1)) u(i))"
-_PIECES = "(select vec_id // 64 as doc, vec_id // 4 as word, vec_id, list_transform(embedding[1:5], lambda x: abs(x)::double) as s from embeddings)"
+_PIECES = "(select vec_id // 64 as doc, vec_id // 4 as word, vec_id, [list_max([abs(embedding[i])::double for i in range(1, len(embedding) + 1) if (i - 1) % 5 = c]) for c in range(0, 5)] as s from embeddings)"
 _NAMES = "['O', 'B-Date', 'I-Date', 'B-Name', 'I-Name']"
 
 
@@ -197,7 +213,7 @@ def oracle_sql() -> dict[str, str]:
         "policy_lookup": f"select mc as main_class, sc as sub_class, case when mc = 'Date' and sc = 'DATE' then 'redact' when mc = 'Contact' and sc = 'PHONE' then 'keep' when mc = 'Name' and sc = 'STAFF' then 'redact' else 'replace' end as method, count(*) as n from {spans(REPORTS, detect.RADIOLOGY)} group by all",
         "infer_date_format": f"select case k when 0 then 'dmy' when 1 then 'dmy' when 2 then 'ymd' when 3 then 'dmy2' when 4 then 'dm' when 5 then 'dB' when 6 then case when true then 'dmy' end when 7 then 'd' when 8 then 'dmy' end as format, k = 6 as stays, count(*) as n from {DATES} group by all",
         "shift_dates": f"select doc, covered, {_moved('days')} as shifted from {DATES}",
-        "shift_birthdates": f"select doc, covered, case k when 2 then strftime(nd, '%Y-%m-%d') when 8 then strftime(nd, '%d/%m/%Y') else strftime(nd, '%d.%m.%Y') end as shifted from (select *, try_strptime((year(day) + years) || strftime(day, '-%m-%d'), '%Y-%m-%d')::date + days as nd from {DATES} where k in (0, 1, 2, 8))",
+        "shift_birthdates": f"select doc, covered, {_birthdate()} as shifted from {DATES}",
         "shift_ages": f"select doc, age, case when years = 0 then age when age like '%Jahre' then null else (try_cast(age as int) + years)::varchar end as shifted from (select *, case when doc % 7 = 0 then (doc % 90) || ' Jahre' else (doc % 90)::varchar end as age from {DATES})",
         "offset_draw": f"select c_custkey as patient, {_offset_days('c_custkey')}::bigint as days, [-2, -1, 1, 2][({_hash(chr(39) + 'y' + chr(39) + ' || c_custkey')} % 4 + 1)::int]::bigint as years from customer",
         "offset_lookup": f"select doc, case when patient % 3 = 0 then '<Date_DATE>' else coalesce({_moved(_offset_days('patient'))}, '<Date_WRONG>') end as shifted from {DATES} where patient in (select c_custkey from customer)",
@@ -223,7 +239,7 @@ def oracle_sql() -> dict[str, str]:
         "patients_per_label": f"select per_number, count(*) as n from {patient} where mc = 'Date' and sc = 'DATE' group by 1",
         "split_patients": f"select patient_id from {sampled}",
         "split_manifest": f"select split_id, document_type, patient_id, document_id, case when patient_id in (select patient_id from {sampled}) then 'train' else 'test' end as phase from split_document where patient_id is not null",
-        "leak_flag": "select split_id, patient_id, phase as side, coalesce(patient_id in (select patient_id from split_document where phase = 'train' intersect select patient_id from split_document where phase = 'test'), false) as leaks from split_document where phase in ('train', 'test')",
+        "leak_flag": "with s as (select split_id, patient_id, case when lower(trim(phase, ' \t\r\n')) in ('train', 'training') then 'train' when lower(trim(phase, ' \t\r\n')) in ('validation', 'val', 'valid', 'dev', 'test', 'testing') then 'test' end as side from split_document) select split_id, patient_id, side, coalesce(patient_id in (select patient_id from s where side = 'train' intersect select patient_id from s where side = 'test'), false) as leaks from s where side is not null",
         "patient_enrichment": "select s.split_id, s.patient_id, p.identifier_0_value as per_number from split_document s left join (select * from patient_lookup where identifier_0_value is not null) p on p.id = s.patient_id",
         **{f"word_aggregate_{s}": f"select doc, word, idx::bigint as idx, score::double as score from {_word(s)}" for s in ("first", "max", "any_max")},
         "group_entities": f"select doc, label, (b * 10)::bigint as begin_pos, (e * 10 + 8)::bigint as end_pos, round(score::double, 6) as score, n as n_words from {_entities('max')}",
