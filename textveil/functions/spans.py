@@ -19,6 +19,29 @@ def find_spans(text: Column, pattern: str, head: str = "", tail: str = "") -> Co
     return _let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda matches: F.when(F.size(matches) > 0, _place(text, matches, pattern, head, tail)).otherwise(F.expr("cast(array() as array<struct<begin:int,end:int,covered:string>>)")))
 
 
+def quoted(s: str) -> str:
+    """A string literal of Spark SQL."""
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def find_spans_sql(text: str, pattern: str, head: str = "", tail: str = "") -> str:
+    """:func:`find_spans` of a named column as one SQL expression: parsed at once,
+    where a Column built call by call costs a fifth of a second on the driver."""
+    p = quoted(pattern)
+    h = f"length(regexp_extract(x.m, {quoted(f'^(?:{head})')}, 0))" if head else "0"
+    t = f"length(regexp_extract(x.m, {quoted(f'(?:{tail})$')}, 0))" if tail else "0"
+    core = f"substr(x.m, {h} + 1, x.n - {h} - {t})" if head or tail else "x.m"
+    pairs = f"zip_with(transform(slice(split({text}, {p}, -1), 1, size(mm)), g -> length(g)), mm, (g, m) -> named_struct('g', g, 'n', length(m), 'm', m))"
+    places = "split(aggregate(ps, named_struct('v', 0, 's', ''), (acc, x) -> named_struct('v', acc.v + x.g + x.n, 's', concat(acc.s, cast(acc.v as string), ' ')), acc -> acc.s), ' ', -1)"
+    span = f"named_struct('begin', cast(p as int) + x.g + {h}, 'end', cast(p as int) + x.g + x.n - {t}, 'covered', {core})"
+    placed = f"transform(array({pairs}), ps -> zip_with(slice({places}, 1, size(ps)), ps, (p, x) -> {span}))[0]"
+    return f"transform(array(regexp_extract_all({text}, {p}, 0)), mm -> case when size(mm) > 0 then {placed} else {NO_SPANS} end)[0]"
+
+
+#: An empty array of found spans.
+NO_SPANS = "cast(array() as array<struct<begin:int,end:int,covered:string>>)"
+
+
 def _let(value: Column, body) -> Column:
     """``body`` of a value that is worked out once."""
     return F.transform(F.array(value), body)[0]

@@ -13,10 +13,10 @@ from dataclasses import dataclass
 from typing import Protocol
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textveil.functions.spans import find_spans, spread
+from textveil.functions.spans import NO_SPANS, find_spans_sql, quoted, spread
 
 ANNOTATION = "seq bigint, begin int, end int, main_class string, sub_class string, score double, source string"
 
@@ -81,22 +81,19 @@ MEASURES = (
 IMAGE = r"(?i)ima.*?[0-9]+/[0-9]+(?:-[0-9]+)?"
 
 
-def spans_of(text: Column, d: Detector, order: int, source: str, score: float = 1.0) -> Column:
-    found = find_spans(text, d.java, d.head, d.tail)
+def spans_sql(text: str, d: Detector, order: int, source: str, score: float = 1.0) -> str:
+    """The spans of one detector in a named column as an SQL expression."""
+    found = find_spans_sql(text, d.java, d.head, d.tail)
     if d.needs:
-        found = F.when(text.rlike(d.needs), found).when(text.isNotNull(), F.expr("cast(array() as array<struct<begin:int,end:int,covered:string>>)"))
-    return F.transform(
-        found,
-        lambda s, i: F.struct(
-            (F.lit(order).cast("bigint") * 1_000_000 + i).alias("seq"), s["begin"].alias("begin"), s["end"].alias("end"), F.lit(d.main_class).alias("main_class"), F.lit(d.sub_class).alias("sub_class"), F.lit(score).alias("score"), F.lit(source).alias("source")
-        ),
-    )
+        found = f"case when {text} rlike {quoted(d.needs)} then {found} when {text} is not null then {NO_SPANS} end"
+    fields = f"'seq', cast({order} as bigint) * 1000000 + i, 'begin', s.begin, 'end', s.end, 'main_class', {quoted(d.main_class)}, 'sub_class', {quoted(d.sub_class)}, 'score', cast({score} as double), 'source', {quoted(source)}"
+    return f"transform({found}, (s, i) -> named_struct({fields}))"
 
 
 def detect_arrays(df: DataFrame, text: str, detectors: tuple[Detector, ...], source: str, into: str = "spans") -> DataFrame:
-    """``df`` with an array of the spans of all detectors, by one scan."""
-    arrays = [spans_of(F.col(text), d, k, source) for k, d in enumerate(detectors)]
-    return df.withColumn(into, F.concat(*arrays))
+    """``df`` with an array of the spans of all detectors, each searched for once."""
+    column = "`" + text.replace("`", "``") + "`"
+    return df.withColumn(into, F.expr("concat(" + ", ".join(spans_sql(column, d, k, source) for k, d in enumerate(detectors)) + ")"))
 
 
 def detect(df: DataFrame, key: str, text: str, detectors: tuple[Detector, ...], source: str = "rules") -> DataFrame:

@@ -521,6 +521,6 @@ def bundle_rewrite(spark, d):
 
 def queries() -> dict:
     """All queries; the modules of composed ones register theirs when they are imported."""
-    from textveil.plans import composed  # noqa: F401
+    from textveil.plans import composed, files  # noqa: F401
 
     return dict(Q)

@@ -250,9 +250,9 @@ def oracle_sql() -> dict[str, str]:
         "bundle_rewrite": "select resource_row_id, id, deid_text as valuestring from resource r left join (" + stitched("(select resource_row_id as doc, valuestring as text from resource where valuestring is not null)", resolved("(select resource_row_id as doc, valuestring as text from resource where valuestring is not null)", detect.CONTACTS), _TAG) + ") x on x.doc = r.resource_row_id",
         "subtokens_bio": f"select doc, count(*) as n, sum(b)::bigint as sum_begin, max(e)::bigint as last_end from {span_sql(REPORTS, _sub_pattern())} group by doc",
     }
-    from textveil.plans import composed
+    from textveil.plans import composed, files
 
-    out.update(composed.oracle_sql())
+    out.update({**composed.oracle_sql(), **files.oracle_sql(), "leaks_round_trip": out["leak_flag"]})
     return {k: v for k, v in out.items() if k in catalog.queries()}
 
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,6 +28,26 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, **conf:
     return b.getOrCreate()
 
 
+def ship(spark: SparkSession) -> None:
+    """Send the package to the executors (as a zip on their path), once per session.
+
+    Needed where it is not installed there, as Python operators run in their processes.
+    """
+    sc = spark.sparkContext
+    if sc.master.startswith("local") or getattr(sc, "_textveil_shipped", False):
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(), "textveil.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(here):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(here)))
+    sc.addPyFile(path)
+    sc._textveil_shipped = True
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, from ``spark.checkpoint.dir``.
 
@@ -43,13 +66,45 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared folder, for files of this session."""
+    return f"{shared_dir(spark).removeprefix('file:')}/{name}-{uuid.uuid4().hex}"
+
+
+_CUTS: list[str] = []
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to a table in the shared folder and read it back.
 
     Cuts lineage like ``checkpoint()``, but columnar and compressed; the files
-    survive the loss of any executor.
+    survive the loss of any executor.  They are there until :func:`drop_cuts` is
+    called, or the driver ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if not _CUTS:
+        atexit.register(_drop_at_exit)
+    _CUTS.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_cuts(spark: SparkSession) -> int:
+    """Delete the tables that :func:`cut` wrote, once the results made from them are
+    written; answers their number."""
+    n = len(_CUTS)
+    jvm = spark.sparkContext._jvm
+    while _CUTS:
+        path = jvm.org.apache.hadoop.fs.Path(_CUTS.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return n
+
+
+def _drop_at_exit() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None and _CUTS:
+        try:
+            drop_cuts(spark)
+        except Exception:  # noqa: BLE001 - the JVM may be gone already
+            pass

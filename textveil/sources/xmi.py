@@ -6,14 +6,14 @@ Also curation exports, zip files that hold one XMI per annotator.
 from __future__ import annotations
 
 import io
-import re
+import uuid
 import zipfile
 import xml.etree.ElementTree as ET
 from collections.abc import Iterator
 from xml.sax.saxutils import quoteattr
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: ``Patient:<hex>_<Resource>:<hex>`` in a file name.
@@ -75,6 +75,11 @@ def read_curation_zips(spark: SparkSession, path: str, user: str = "CURATION_USE
     return files.select("path", "content").mapInPandas(parse, _SCHEMA)
 
 
+def stem(path: str = "path") -> Column:
+    """The file name of a path without its ending."""
+    return F.regexp_replace(F.url_decode(F.element_at(F.split(path, "/"), -1)), r"\.[^.]*$", "")
+
+
 def file_ids(df: DataFrame, path: str = "path") -> DataFrame:
     """``patient_id, resource_type, resource_id`` from the file name."""
     name = F.url_decode(F.element_at(F.split(path, "/"), -1))
@@ -86,15 +91,75 @@ def annotations(df: DataFrame, key: str) -> DataFrame:
     return df.select(key, F.posexplode("spans").alias("seq", "s")).select(key, F.col("seq").cast("bigint").alias("seq"), "s.*")
 
 
-def write_xmi_files(df: DataFrame, name: str, text: str, spans: str, folder: str) -> None:
-    """One file per document, written by the executors into a folder they share."""
-    import os
+def write_files(df: DataFrame, name: str, content: str, folder: str) -> None:
+    """One file per row, named by the column ``name`` (it may hold subfolders).
+
+    ``folder`` must be one that all executors share (any file system pyarrow
+    knows by its URI).  A file is written under a name of its own and then
+    moved, so a task that is run again, or twice at once, leaves whole files.
+    """
 
     def write(rows) -> None:
-        os.makedirs(folder, exist_ok=True)
+        from pyarrow import fs
+
+        system, base = fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
         for r in rows:
-            data = write_xmi(r[text], [s.asDict() for s in r[spans]])
-            with open(os.path.join(folder, re.sub(r"[/\\]", "_", str(r[name])) + ".xmi"), "w", encoding="utf-8") as f:
-                f.write(data)
+            data = r[content]
+            path = f"{base}/{r[name].replace(':', '%3A')}"  # Hadoop paths take no colon
+            system.create_dir(path.rpartition("/")[0], recursive=True)
+            part = f"{path}.{uuid.uuid4().hex}.part"
+            with system.open_output_stream(part) as f:
+                f.write(data.encode("utf-8") if isinstance(data, str) else bytes(data))
+            system.move(part, path)
 
-    df.select(name, text, spans).foreachPartition(write)
+    df.select(name, content).where(F.col(content).isNotNull()).foreachPartition(write)
+
+
+def xmi_content(df: DataFrame, text: str, spans: str, into: str = "content") -> DataFrame:
+    """``df`` with each annotated text as the content of an XMI file; null texts stay null."""
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    schema = StructType([*df.schema.fields, StructField(into, StringType())])
+
+    def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield b.assign(**{into: [None if t is None else write_xmi(t, [dict(s) for s in (ss if ss is not None else [])]) for t, ss in zip(b[text], b[spans])]})
+
+    return df.mapInPandas(make, schema)
+
+
+def write_xmi_files(df: DataFrame, name: str, text: str, spans: str, folder: str) -> None:
+    """One XMI file per document, ``<name>.xmi``; see :func:`write_files`."""
+    named = df.select(F.concat(F.regexp_replace(F.col(name).cast("string"), r"[/\\\\]", "_"), F.lit(".xmi")).alias("name"), text, spans)
+    write_files(xmi_content(named, text, spans), "name", "content", folder)
+
+
+def write_curation_zips(df: DataFrame, name: str, text: str, spans: str, folder: str, user: str = "CURATION_USER") -> None:
+    """One zip file per document, ``<name>.xmi/export.zip``, holding ``<user>.xmi``."""
+    from pyspark.sql.types import BinaryType, StringType, StructField, StructType
+
+    schema = StructType([StructField("name", StringType()), StructField("content", BinaryType())])
+
+    def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            names, data = [], []
+            for n, t, ss in zip(b["name"], b[text], b[spans]):
+                if t is None:
+                    continue
+                buf = io.BytesIO()
+                with zipfile.ZipFile(buf, "w") as z:
+                    z.writestr(f"{user}.xmi", write_xmi(t, [dict(s) for s in (ss if ss is not None else [])]))
+                names.append(f"{n}.xmi/export.zip")
+                data.append(buf.getvalue())
+            yield pd.DataFrame({"name": names, "content": data})
+
+    write_files(df.select(F.col(name).cast("string").alias("name"), text, spans).mapInPandas(make, schema), "name", "content", folder)
+
+
+def paired(gold: DataFrame, pred: DataFrame, key: str, text: str) -> DataFrame:
+    """Documents of two annotation sets by key: ``(key, state)`` for what keeps a pair
+    from being compared: ``only_gold``, ``only_pred`` or ``other_text``; else ``same``."""
+    g = gold.select(key, F.col(text).alias("_g"), F.lit(True).alias("_in_g"))
+    p = pred.select(key, F.col(text).alias("_p"), F.lit(True).alias("_in_p"))
+    state = F.when(F.col("_in_p").isNull(), "only_gold").when(F.col("_in_g").isNull(), "only_pred").when(F.col("_g").eqNullSafe(F.col("_p")), "same").otherwise("other_text")
+    return g.join(p, key, "full").select(key, state.alias("state"))
