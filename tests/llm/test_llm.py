@@ -288,7 +288,7 @@ def test_leaks_against_brute_force(spark, monkeypatch):
     want = {(i, x) for i, t in docs for w in [(t or "").lower().split()] for k in range(len(w) - 11) for x in grams.get(tuple(w[k : k + 12]), ())}
     run = lambda: {(r.doc_id, r.item_id) for r in leakage.leaked(d, it).where("longest_run >= 12").collect()}
     assert want and run() == want
-    monkeypatch.setattr(leakage, "MAX_SENT", 1)
+    monkeypatch.setattr(leakage, "BLOCK_WORDS", 100)  # several blocks of items
     assert run() == want
     assert leakage.leaked(d.limit(0), it).count() == 0 and leakage.leaked(d, it.limit(0)).count() == 0
 
@@ -306,6 +306,56 @@ def test_edited_copies_are_found_whatever_else_is_there(spark):
         assert exact == set(more) - {5}
 
 
+def plain_score(a, b):
+    """Smith-Waterman, cell by cell."""
+    best, prev = 0, [0] * (len(b) + 1)
+    for x in a:
+        row = [0]
+        for j, y in enumerate(b, 1):
+            row.append(max(0, prev[j - 1] + (2 if x == y else -1), prev[j] - 1, row[-1] - 1))
+        prev = row
+        best = max(best, *row)
+    return best
+
+
+def test_recall_of_edited_copies_against_brute_force(spark):
+    rng = random.Random(17)
+    v = [f"wort{i}" for i in range(400)]
+    items = {i: [rng.choice(v) for _ in range(rng.randrange(30, 90))] for i in range(12)}
+    docs, copied = {}, set()
+    for k in range(150):
+        w = [rng.choice(v) for _ in range(rng.randrange(30, 150))]
+        if k % 3:
+            i = k % 12
+            n = rng.randrange(16, len(items[i]) + 1)
+            at = rng.randrange(len(items[i]) - n + 1)
+            part = []
+            for x in items[i][at : at + n]:  # every tenth word changed, left out or joined by another
+                kind = rng.random() * 30
+                part += [rng.choice(v)] if kind < 1 else [] if kind < 2 else [x, rng.choice(v)] if kind < 3 else [x]
+            w[5:5] = part
+            copied.add((k, i))
+        docs[k] = w
+    want = {(k, i): sc for k, w in docs.items() for i, x in items.items() if (sc := plain_score(w, x)) >= leakage.LEAST_SCORE}
+    d = spark.createDataFrame([(k, " ".join(w)) for k, w in docs.items()], "doc_id long, text string")
+    it = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.score for r in leakage.leaked(d, it).collect()}
+    assert all(want[p] == sc for p, sc in got.items())
+    due = {p for p in want if p in copied}
+    assert len(due) > 90 and len(due & set(got)) >= 0.97 * len(due)
+
+
+def test_words_of_many_texts():
+    from textveil.llm.words import words_of
+
+    texts = ["Größe: Straße!", None, "", "Maße, x_y\0z 9", "U\u0308ber", "ένα ДВА"]
+    for umlauts in (False, True):
+        sizes, flat = words_of(texts, umlauts)
+        plain = [numbers(words((t or "").replace("\0", " "), umlauts)) for t in texts]
+        assert sizes.tolist() == [len(x) for x in plain] and flat.tolist() == [n for x in plain for n in x]
+    assert [len(x) for x in words_of([])] == [0, 0]
+
+
 def test_alignment_and_words():
     a = np.array(numbers("eins zwei drei vier fuenf".split()))
     b = np.array(numbers("x eins zwei y drei vier".split()))
