@@ -181,7 +181,8 @@ def test_overlaps_against_brute_force(spark):
     split = [(i, "radio", "1", hx(i), rng.choice(["train", "test", "dev"]), None, None, None) for i in range(len(texts))] + [(900, None, None, hx(900), "test", None, None, None), (901, None, None, hx(901), "train", None, None, None), (902, None, None, hx(0), "train", None, None, None), (903, None, None, hx(0), None, None, None, None), (904, None, None, None, "train", None, None, None)]
     s = spark.createDataFrame(split, SPLIT)
     d = spark.createDataFrame(docs, "id string, valuestring string").withColumn("n", F.lit(1)).withColumn("cls", F.lit("c"))
-    got = {(r.train_id, r.eval_id): r.distance for r in overlap.overlaps(s, d).collect()}
+    found = overlap.overlaps(s, d)
+    got = {(r.train_id, r.eval_id): r.distance for r in found.pairs().collect()}
     text = {k: [w.lower() for w in t.replace(",", " ").split()] for k, t in docs if t}
     want = {}
     for i, _, _, a, pa, *_ in split:
@@ -191,7 +192,44 @@ def test_overlaps_against_brute_force(spark):
                 if e <= 0.15 * max(len(text[a]), len(text[b])) + 1e-9:
                     want[i, j] = e
     assert got == want
-    assert overlap.overlaps(s.limit(0), d.limit(0)).count() == 0
+    links = {r.split_id: r.n_links for r in found.links().collect()}
+    assert links == {i: sum(i in p for p in want) for i in links} and set(links) >= {i for p in want for i in p}
+    report = {(r.phase, r.document_type): (r.n_pairs, r.n_eval_rows, r.n_same) for r in found.report().collect()}
+    phase = {i: {"dev": "validation"}.get(p, p) for i, _, _, _, p, *_ in split}
+    for ph in ("test", "validation"):
+        mine = {p: e for p, e in want.items() if phase[p[1]] == ph}
+        assert report[ph, "radio"] == (len(mine), len({p[1] for p in mine}), sum(e == 0 for e in mine.values()))
+    none = overlap.overlaps(s.limit(0), d.limit(0))
+    assert none.pairs().count() == none.links().count() == none.report().count() == 0
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_banded_and_bags_of_many(seed):
+    rng = random.Random(seed)
+    text = lambda: np.array([rng.randrange(5) for _ in range(rng.randrange(0, 20))], np.int64)
+    left, right = [text() for _ in range(60)], [text() for _ in range(60)]
+    k = np.array([rng.randrange(0, 9) for _ in range(60)])
+    assert overlap.banded_all(left, right, k).tolist() == [min(distance(a, b), x + 1) for a, b, x in zip(left, right, k)]
+    sizes = [np.array([len(x) for x in s]) for s in (left, right)]
+    bags = overlap._bags(sizes[0], np.concatenate(left), sizes[1], np.concatenate(right))
+    assert bags.tolist() == [sum(abs(np.sum(a == v) - np.sum(b == v)) for v in range(5)) for a, b in zip(left, right)]
+
+
+def test_near_lengths_and_places_meet():
+    """Whatever is within the edits shares a key: bands by length, buckets by place."""
+    width = overlap._widths(0.15)
+    for n in range(1, 300):
+        k = overlap.edits(n)
+        for m in range(max(1, n - k), n + k + 1):
+            if abs(n - m) <= int(0.15 * max(n, m) + 1e-9):
+                x, y = overlap._band(np.array([n, m]), 0.15)
+                assert abs(x - y) <= 1 and 2 * k + 1 <= width[y]
+
+
+def test_filter_lets_all_of_them_pass(spark):
+    x = np.random.default_rng(1).integers(-(1 << 62), 1 << 62, 20_000)
+    f = overlap.Filter(spark.createDataFrame([(int(v),) for v in x[:5000]], "run long"), "run")
+    assert f.passes(x[:5000]).all() and f.passes(x[5000:]).mean() < 0.05
 
 
 # --- 4 personal ---------------------------------------------------------------------

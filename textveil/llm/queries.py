@@ -62,18 +62,22 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return found.where(F.col("longest_run") >= leakage.PASSAGE).select("doc_id", "item_id")
 
 
-def p3_overlaps(spark: SparkSession, d: str) -> DataFrame:
+def _overlaps(spark: SparkSession, d: str) -> overlap.Overlaps:
     return overlap.overlaps(table(spark, d, "split_document"), table(spark, d, "resource"))
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    return p3_overlaps(spark, d).select(F.least("train_id", "eval_id").alias("split_id_a"), F.greatest("train_id", "eval_id").alias("split_id_b")).distinct()
+    return _overlaps(spark, d).pairs().select(F.least("train_id", "eval_id").alias("split_id_a"), F.greatest("train_id", "eval_id").alias("split_id_b")).distinct()
+
+
+def p3_overlaps(spark: SparkSession, d: str) -> DataFrame:
+    """Each row with a phase and text: its class, and its links to the other side."""
+    return _overlaps(spark, d).links()
 
 
 def p3_report(spark: SparkSession, d: str) -> DataFrame:
     """Overlaps counted per phase and document_type of the evaluation rows."""
-    counts = [F.count(F.lit(1)).alias("n_pairs"), F.countDistinct("eval_id").alias("n_eval_rows"), F.sum((F.col("distance") == 0).cast("bigint")).alias("n_same")]
-    return p3_overlaps(spark, d).groupBy("phase", "document_type").agg(*counts)
+    return _overlaps(spark, d).report()
 
 
 def p8_mix(spark: SparkSession, d: str) -> DataFrame:
