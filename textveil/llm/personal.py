@@ -9,6 +9,7 @@ is searched for outside the reach of an anchor.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right, insort
 from collections.abc import Iterator
 
 import ahocorasick
@@ -148,16 +149,152 @@ _BEHIND: dict[str, list[re.Pattern]] = {
     "様": [_p(r"(?P<n>[{H}]{1,3}[ 　][{H}]{1,3}|[{H}]{2,6})\Z")],
     "की जाँच": [_p(r"(?:^|[।?!.\r\n])\s*(?P<n>[{D}]+\s+[{D}]+)\s+\Z")],
 }
+# --- anchors that announce themselves, whatever sentence they stand in ---------------
+#: Words for a person by role, kin or form of address.
+_ROLES = (
+    "Ansprechpartner|Ansprechpartnerin|Ansprechperson|Kontaktperson|Kontakt|Name|Nachname|Patientenname|Patient|Patientin|Hausarzt|Hausärztin|Oberarzt|Oberärztin|Chefarzt|Chefärztin|Stationsarzt|Stationsärztin|Assistenzarzt|Assistenzärztin|"
+    "Facharzt|Fachärztin|Arzt|Ärztin|Radiologe|Radiologin|Befunder|Befunderin|Untersucherin|Überweiser|Zuweiser|Zuweiserin|Einsender|Einsenderin|Sachbearbeiter|Sachbearbeiterin|Betreuer|Betreuerin|Pflegekraft|Therapeut|Therapeutin|Auftraggeber|Unterschrift|"
+    "Contact|Patient name|Referring physician|Physician|Radiologist|Attending|Consultant|Signature|Next of kin|Médecin|Radiologue|Nom"
+)
+#: Forms of address and degrees that a name follows.
+_FORMS = ("Herrn", "Herr", "Frau", "Hrn.", "Dr.", "Dres.", "Prof.", "PD", "Monsieur", "Madame", "Mme", "Mlle", "Sister", "Nurse")
+#: Labels of telephone numbers.
+_LINES = ("Telefonnummer", "Telefon", "Telefax", "Tel", "Mobil", "Mobilnummer", "Handy", "Handynummer", "Rufnummer", "Fax", "phone", "Phone", "mobile", "Mobile", "telephone", "Telephone", "call", "Call", "téléphone", "portable", "tel:", "lautet", "Nebenstelle", "Pieper", "extension", "ext.")
+#: Labels of identity and record numbers.
+_NUMBERS = (
+    "Versichertennummer", "Krankenversichertennummer", "Versicherungsnummer", "Sozialversicherungsnummer", "Personalausweis", "Ausweisnummer", "Reisepass", "Passnummer", "Aktenzeichen", "Fallnummer", "Fall-ID", "Patientennummer", "Patienten-ID", "Patientenakte", "Aufnahmenummer", "Steuer-ID",
+    "Hospital number", "hospital number", "Passport", "passport", "ID card", "Insurance number", "insurance number", "Case number", "case number", "Medical record number", "medical record number", "numéro de dossier", "numéro de sécurité sociale",
+)
+#: What names of streets end with; those of the second list are also
+#: parts of the body or of devices, and need a postcode or a word for living there.
+_STREETS = ("straße", "strasse", "str.", "Straße", "Str.", "gasse", "allee", "Allee", "chaussee", "Chaussee", "promenade", "Promenade")
+_PLACES = ("weg", "platz", "Platz", "ring", "damm", "ufer", "hof", "Weg", "Ring", "Damm", "Ufer", "steig", "graben", "berg")
+_ROADS = ("Street", "Road", "Avenue", "Lane", "Drive", "Square", "Terrace", "Crescent", "Close", "Gardens")
+_VOIES = ("rue ", "avenue ", "boulevard ", "place ", "chemin ", "impasse ", "quai ")
+
+_TWO = rf"(?:(?:{_W}|[{_UP}]\.)[^\S\r\n]+)+{_PART.replace('{s}', r'[^\S\r\n]')}{_W}"
+_HOUSE = rf"\d{{1,4}}(?:[^\S\r\n]?[a-z](?![{_LOW}]))?(?:[^\S\r\n]?[-/–][^\S\r\n]?\d{{1,4}}(?:[^\S\r\n]?[a-z](?![{_LOW}]))?)?"
+_NO_UNIT = r"(?![\d.,]*\d|[^\S\r\n]?(?:%|°|mm|cm|ml|mg|kg|Uhr|Jahre|Monate|Wochen|Tage|mSv|HE)\b)"
+_LINE = re.compile(rf"(?:-?(?:nummer|Nr\.?|number|no\.?))?[^\S\r\n]*[:.]?[^\S\r\n]*(?:ist|is|est|unter|at|on|on:|under|le|au)?[^\S\r\n]*(?P<p>(?:\+|00|\(?0)?\d(?:[ \t/().–-]{{0,2}}\d){{3,14}})(?![\d])")
+_PLUS = re.compile(r"\+[ ]?(?:\(?\d\)?[ /().–-]{0,2}){7,14}\d")
+_ZEROS = re.compile(r"00[1-9]\d?(?:[ /().–-]{0,2}\d){7,12}(?!\d)")
+_IBAN = re.compile(r"[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
+_LABELLED = re.compile(r"(?:-?(?:[Nn]ummer|Nr\.?|number|no\.?|n°))?[^\S\r\n]*(?:[:.#]|lautet|ist|is|est)?[^\S\r\n]*(?:Nr\.?|no\.?|n°)?[^\S\r\n]*(?P<i>(?=[A-Z0-9 /-]*\d[A-Z0-9 /-]*\d[A-Z0-9 /-]*\d[A-Z0-9 /-]*\d)[A-Z0-9](?:[ /-]?[A-Z0-9]){4,24})(?![A-Za-z0-9])")
+_AFTER_ROLE = re.compile(rf"[^\S\r\n]*:[^\S\r\n]*{_TITLE.replace('{s}', '[^' + chr(92) + 'S' + chr(92) + 'r' + chr(92) + 'n]')}(?P<n>{_TWO}|[{_UP}]{{3,}},[^\S\r\n]+{_W}|{_W},[^\S\r\n]+(?:{_W}|[{_UP}]\.)|{_W})(?![{_LOW}])")
+_AFTER_PATIENT = re.compile(rf"(?:in|en)?[^\S\r\n]+(?P<n>{_TWO})(?![{_LOW}])")
+_BEFORE_PHONE = re.compile(rf"(?:\A|[\r\n(:;„\"][^\S\r\n]*|\b(?:bei|an|mit|von|durch|für|über|ist|sind|to|from|by|with|is|call|chez|par|avec)[^\S\r\n]+)(?P<n>{_TWO})[^\S\r\n]*(?:,|:|;|\(|unter|at|on|–|-|ist|is|kann|can)[^\S\r\n]*(?:unter|at|on|Tel\.?:?|Telefon:?|Mobil:?)?[^\S\r\n]*(?:der|the|seiner|ihrer)?[^\S\r\n]*\Z")
+_STREET_HEAD = re.compile(rf"(?:(?:An?[^\S\r\n]+der|Am|An|Auf[^\S\r\n]+der|Auf[^\S\r\n]+dem|Zum|Zur|Im|In[^\S\r\n]+der|Alte[rn]?|Neue[rn]?|Große[rn]?|Kleine[rn]?|Obere[rn]?|Untere[rn]?|[{_UP}][{_LOW}]+er|(?:[{_UP}][{_LOW}]+-)+)[^\S\r\n]*)*(?:[{_UP}][{_UP}{_LOW}]*-?)*\Z")
+_STREET_TAIL = re.compile(rf"[^\S\r\n]+{_HOUSE}{_NO_UNIT}")
+_POSTCODE = re.compile(r"[^\S\r\n]*,?[^\S\r\n]*(?:in[^\S\r\n]+)?(?:D-|A-|CH-)?\d{4,5}[^\S\r\n]+[A-ZÄÖÜ]")
+_LIVES = re.compile(r"(?:wohnt|wohnhaft|wohnend|wohnte|Adresse|Anschrift|Wohnort|zieht|gemeldet)[^.\r\n]{0,25}\Z")
+_ROAD = re.compile(rf"(?<![{_UP}{_LOW}\d])\d{{1,4}}[A-Za-z]?,?[^\S\r\n]+(?:[{_UP}][{_UP}{_LOW}.'’-]*[^\S\r\n]+){{1,3}}\Z")
+_VOIE = re.compile(rf"(?<![{_LOW}\d])\d{{1,4}}(?:[^\S\r\n]?(?:bis|ter))?,?[^\S\r\n]+\Z")
+_VOIE_TAIL = re.compile(rf"(?:(?:de|du|des|la|le|les|d'|l')[^\S\r\n]*)*[{_UP}][{_UP}{_LOW}'’-]+(?:[^\S\r\n-]+(?:(?:de|du|des|la)[^\S\r\n]+)?[{_UP}][{_LOW}'’-]+)*")
+# Capitalised words that follow a word for a person and are no name.
+_NO_NAME_WORDS = frozenset("Zustand Kontrolle Befund Klinik Klinikum Abteilung Station Anamnese Datum Untersuchung Aufnahme Institut Praxis Zentrum Hospital Department Clinic History Report Number Name Nr ID Alter Geburtsdatum Nummer Unbekannt Siehe Keine Nicht Kein Telefon Tel Mobil Fax E-Mail Email Mail Uhr Montag Dienstag Mittwoch Donnerstag Freitag Bitte Termin Terminvereinbarung Rückruf Anmeldung Auskunft Zentrale Sekretariat Ambulanz Pforte Büro Notruf Please Appointment Office Desk".split())
+
+
+def iban_ok(value: str) -> bool:
+    """Whether an account number has the length and check digits of an IBAN."""
+    v = value.replace(" ", "")
+    return 15 <= len(v) <= 34 and int("".join(str(int(c, 36)) for c in v[4:] + v[:4])) % 97 == 1
+
+
+def _name_like(v: str) -> bool:
+    return not any(w in _NO_NAME_WORDS for w in re.split(r"[\s,]+", v))
+
+
+def _announced(text: str, kind: str, start: int, end: int) -> Iterator[tuple[int, int, str]]:
+    """What an anchor of a kind that stands for itself tells, by parsers of its surroundings."""
+    if kind == "line":
+        if start and text[start - 1].isalpha():
+            return
+        m = _LINE.match(text, end)
+        if m:
+            yield *m.span("p"), "phone"
+    elif kind in ("plus", "zeros"):
+        m = (_PLUS if kind == "plus" else _ZEROS).match(text, start)
+        inside = start and (text[start - 1].isalnum() or text[start - 1] in "+.,-/" or (start > 1 and text[start - 1] == " " and text[start - 2].isdigit()))
+        if m and not inside and 9 <= sum(c.isdigit() for c in m.group()) <= 16:
+            yield *m.span(), "phone"
+            lo = max(0, start - 80)
+            n = _BEFORE_PHONE.search(text[lo:start])
+            if n and _name_like(n.group("n")):
+                a, b = n.span("n")
+                first = text[lo + a : lo + b].split()[0]
+                if first not in _NO_NAMES:
+                    yield lo + a, lo + b, "name"
+    elif kind == "role":
+        if start and text[start - 1].isalpha():
+            return
+        m = _AFTER_ROLE.match(text, end)
+        if m is None and text[start:end] == "Patient":
+            m = _AFTER_PATIENT.match(text, end)
+        if m and _name_like(m.group("n")):
+            yield *m.span("n"), "name"
+    elif kind == "form":
+        m = None if start and text[start - 1].isalpha() else _FORM_PARSERS[text[start:end]].match(text, start)
+        if m and _name_like(m.group("n")) and m.group("n").split()[0] not in _NO_NAMES:
+            yield *m.span("n"), "name"
+    elif kind == "number":
+        m = _LABELLED.match(text, end)
+        if m:
+            yield *m.span("i"), "id_number"
+    elif kind in ("street", "place"):
+        tail = _STREET_TAIL.match(text, end)
+        if tail:
+            lo = max(0, start - 60)
+            head = _STREET_HEAD.search(text, lo, start)
+            a = head.start()
+            word = text[a:end]
+            if word[:1].isupper() and len(word) > 4 and (kind == "street" or _POSTCODE.match(text, tail.end()) or _LIVES.search(text, max(0, a - 60), a)):
+                yield a, tail.end(), "street"
+    elif kind == "road":
+        head = _ROAD.search(text, max(0, start - 60), start)
+        if head and not text[end : end + 1].isalpha():
+            yield head.start(), end, "street"
+    elif kind == "voie":
+        head, tail = _VOIE.search(text, max(0, start - 12), start), _VOIE_TAIL.match(text, end)
+        if head and tail:
+            yield head.start(), tail.end(), "street"
+    elif kind == "iban":
+        m = _IBAN.match(text, start)
+        while m:  # the longest part that the check digits confirm
+            v = m.group()
+            if iban_ok(v):
+                yield m.start(), m.start() + len(v), "id_number"
+                return
+            cut_ = v.rpartition(" ")[0]
+            if len(cut_) < 15:
+                return
+            m = re.compile(re.escape(cut_)).match(text, start)
+
+
 _TYPES = {"n": "name", "p": "phone", "i": "id_number", "s": "street"}
 _AT = ("@", "(at)", "[at]", "( at )", "[ at ]")
 # Words that no name begins with.
 _NO_NAMES = frozenset("Der Die Das Ein Eine Laut Für Bei Nach Am Im In Es Z Kein Keine Befund Dr Prof Hr Fr Herr Herrn Frau Mr Mrs Ms Mme PD OA OÄ Pat Patient Patientin".split())
 
 
+def _form(word: str) -> re.Pattern:
+    """A form of address with the titles and the name behind it."""
+    return _p(rf"{re.escape(word)}{{s}}+{{T}}(?P<n>{{N}})".replace("{s}", r"[^\S\r\n]"), True)
+
+
+#: Anchor: kinds that announce themselves.
+_KINDS: dict[str, list[str]] = {}
+for _kind, _words in (("line", _LINES), ("number", _NUMBERS), ("street", _STREETS), ("place", _PLACES), ("road", _ROADS), ("voie", _VOIES), ("role", _ROLES.split("|")), ("plus", ("+",)), ("zeros", ("00",)), ("iban", ("DE", "AT", "CH", "FR", "GB", "NL"))):
+    for _word in _words:
+        _KINDS.setdefault(_word, []).append(_kind)
+for _word in _FORMS:
+    _KINDS.setdefault(_word, []).append("form")
+_FORM_PARSERS = {w: _form(w) for w in _FORMS}
+
+
 def _automaton() -> ahocorasick.Automaton:
     a = ahocorasick.Automaton()
-    for w in {*_AHEAD, *_BEHIND, *_AT}:
-        a.add_word(w, (len(w), tuple(_AHEAD.get(w, ())), tuple(_BEHIND.get(w, ())), w in _AT))
+    for w in {*_AHEAD, *_BEHIND, *_AT, *_KINDS}:
+        a.add_word(w, (len(w), tuple(_AHEAD.get(w, ())), tuple(_BEHIND.get(w, ())), w in _AT, tuple(_KINDS.get(w, ()))))
     a.make_automaton()
     return a
 
@@ -187,8 +324,12 @@ def mentions(text: str) -> list[tuple[int, int, str]]:
                     continue
                 found.setdefault((a + base, b + base), kind)
 
-    for last, (n, ahead, behind, at) in _ANCHORS.iter(text):
+    told: dict[tuple[int, int], str] = {}
+    for last, (n, ahead, behind, at, kinds) in _ANCHORS.iter(text):
         start = last - n + 1
+        for kind in kinds:
+            for a, b, k in _announced(text, kind, start, last + 1):
+                told.setdefault((a, b), k)
         if at:
             lo = max(0, start - 80)
             m = _LOCAL.search(text, lo, start)
@@ -208,13 +349,26 @@ def mentions(text: str) -> list[tuple[int, int, str]]:
             if m:
                 take(m, lo)
                 break
-    if len(found) < 2:
-        return [(a, b, k) for (a, b), k in found.items()]
-    out: list[tuple[int, int, str]] = []
+    # what a cue says comes first: announced mentions fill the places that are left
+    out = _apart(found)
+    if told:
+        out = _apart({k: v for k, v in told.items() if not _meets(out, *k)}, out)
+    return out
+
+
+def _meets(spans: list[tuple[int, int, str]], a: int, b: int) -> bool:
+    """Whether [a, b) overlaps one of the spans, which are sorted and apart."""
+    i = bisect_right(spans, (b,))
+    return i > 0 and spans[i - 1][1] > a
+
+
+def _apart(found: dict[tuple[int, int], str], given: list[tuple[int, int, str]] | None = None) -> list[tuple[int, int, str]]:
+    """The given spans and of the found ones the longest of those that overlap, sorted."""
+    out = list(given or ())
     for (a, b), k in sorted(found.items(), key=lambda x: (x[0][0] - x[0][1], x[0])):
-        if all(b <= x or a >= y for x, y, _ in out):
-            out.append((a, b, k))
-    return sorted(out)
+        if not _meets(out, a, b):
+            insort(out, (a, b, k))
+    return out
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
