@@ -2,8 +2,8 @@
 
 Weights are tempered: the shares of the sources' tokens are exponentiated, and
 the exponent is bisected to a target entropy or to a limit on repetitions.
-Where target shares are stated they are the weights themselves, tempered back
-towards the natural shares only as far as the repetition limits demand.  The
+Where target shares are stated they are the weights themselves, tempered towards
+what the repetition limits allow only as far as a larger budget demands.  The
 weights are then realised by taking, of each source, whole passes over a fixed
 random permutation of its texts and the leading part of one more, block by
 block, so that no task ever holds a source.
@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from textveil.llm.keys import filled, label
 from textveil.session import cut
 
-#: Folder and file of the vocabulary; ranks of a byte-level BPE.
+#: File of the vocabulary, ranks of a byte-level BPE, where neither the call nor the
+#: session (textveil.vocabulary) names one.
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 #: Fixed value: the published pattern by which such tokenizers split text.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -85,16 +86,21 @@ def entropy(weights: dict[str, float]) -> float:
 
 def weights_for_entropy(tokens: dict[str, int], target: float) -> dict[str, float]:
     """Tempered shares whose entropy is ``target`` (or the nearest there is, between 1 and log n)."""
-    # entropy falls as the exponent grows from 0 (uniform)
-    return temper(tokens, _bisect(lambda x: entropy(temper(tokens, x)) >= target, 0.0, 8.0))
+    return tempered_to(tokens, target)[0]
+
+
+def tempered_to(tokens: dict[str, int], target: float) -> tuple[dict[str, float], float]:
+    """``(weights, exponent)``: entropy falls as the exponent grows from 0 (uniform)."""
+    x = _bisect(lambda x: entropy(temper(tokens, x)) >= target, 0.0, 8.0)
+    return temper(tokens, x), x
 
 
 def weights_for_targets(tokens: dict[str, int], targets: dict[str, float], limits: dict[str, int], budget: float | None = None) -> tuple[dict[str, float], float, float]:
     """``(weights, budget, exponent)``.
 
-    Sources with tokens get ``target ** x * natural ** (1 - x)``, normalised,
-    with the largest x in [0, 1] at which no source is repeated beyond its
-    limit at the budget.  Without a budget, the largest one is taken at which
+    Sources with tokens get ``target ** x * capacity ** (1 - x)``, normalised, a
+    source's capacity being its share of what the limits allow in all; x is the
+    largest in [0, 1] at which no source is repeated beyond its limit at the budget.  Without a budget, the largest one is taken at which
     x = 1 holds: all targets are reached.
     """
     have = {s: t for s, t in targets.items() if tokens.get(s) and t > 0}
@@ -105,22 +111,40 @@ def weights_for_targets(tokens: dict[str, int], targets: dict[str, float], limit
     most = min(limits[s] * tokens[s] / goal[s] for s in have)
     if budget is None or budget <= most:
         return goal, float(most if budget is None else budget), 1.0
-    total = sum(tokens[s] for s in have)
-    natural = {s: tokens[s] / total for s in have}
+    total = sum(limits[s] * tokens[s] for s in have)
+    capacity = {s: limits[s] * tokens[s] / total for s in have}
+    budget = min(budget, total)  # more there isn't
 
     def at(x: float) -> dict[str, float]:
-        w = {s: goal[s] ** x * natural[s] ** (1 - x) for s in have}
+        w = {s: goal[s] ** x * capacity[s] ** (1 - x) for s in have}
         z = sum(w.values())
         return {s: v / z for s, v in w.items()}
 
     fits = lambda x: all(at(x)[s] * budget <= limits[s] * tokens[s] * (1 + 1e-12) for s in have)
-    if not fits(0.0):
-        budget = min(limits[s] * tokens[s] / natural[s] for s in have)
     x = _bisect(fits, 0.0, 1.0)
     return at(x), float(budget), x
 
 
-def mix(docs: DataFrame, targets: DataFrame, budget: float | None = None, vocabulary: str = VOCABULARY) -> tuple[DataFrame, DataFrame]:
+def weights_for_mix(tokens: dict[str, int], targets: dict[str, float], limits: dict[str, int], budget: float | None, stretch: float, nats: float | None) -> tuple[dict[str, float], float, float]:
+    """``(weights, budget, exponent)`` by a target entropy, else by target shares.
+
+    By entropy the natural shares of all sources that may be used are tempered;
+    the budget is the largest at which no limit is passed.  ``stretch`` asks for
+    so many times the default budget.
+    """
+    if nats is None:
+        if budget is None and stretch != 1.0:
+            budget = stretch * weights_for_targets(tokens, targets, limits)[1]
+        return weights_for_targets(tokens, targets, limits, budget)
+    have = {s: n for s, n in tokens.items() if n and limits.get(s)}
+    if not have:
+        return {}, 0.0, 1.0
+    w, x = tempered_to(have, nats)
+    most = min(limits[s] * have[s] / w[s] for s in have)
+    return w, min(most, budget) if budget is not None else most, x
+
+
+def mix(docs: DataFrame, targets: DataFrame, budget: float | None = None, vocabulary: str | None = None, stretch: float = 1.0, nats: float | None = None) -> tuple[DataFrame, DataFrame]:
     """``(chosen, shares)``.
 
     ``chosen(doc_id, source, n_tokens, repetitions)``: the records taken, each
@@ -129,9 +153,13 @@ def mix(docs: DataFrame, targets: DataFrame, budget: float | None = None, vocabu
     ``shares(source, target_share, max_repeats, source_tokens, taken_tokens,
     reached_share, exponent)``: what each source of ``targets`` contributes; a
     source without texts reaches 0 and its share goes to the others in
-    proportion.  Null and blank texts, and rows of no wanted source, are not
-    taken; an empty table takes nothing.
+    proportion.  With ``nats`` the shares are the natural ones, tempered to that
+    entropy, instead; a ``budget`` in tokens, or a ``stretch`` of the default one,
+    beyond what the repetition limits allow tempers the target shares.  Null and
+    blank texts, and rows of no wanted source, are not taken; an empty table
+    takes nothing.
     """
+    vocabulary = vocabulary or docs.sparkSession.conf.get("textveil.vocabulary", VOCABULARY)
     spark = docs.sparkSession
     wanted = targets.select(label(F.col("source")).alias("source"), "target_share", "max_repeats").where("source is not null").dropDuplicates(["source"])
     rows = [r.asDict() for r in wanted.orderBy("source").limit(MAX_SOURCES + 1).collect()]
@@ -148,7 +176,7 @@ def mix(docs: DataFrame, targets: DataFrame, budget: float | None = None, vocabu
         tokens[r["source"]] = tokens.get(r["source"], 0) + r["n"]
     limits = {r["source"]: max(0, int(r["max_repeats"] or 0)) for r in rows}
     shares = {r["source"]: float(r["target_share"] or 0.0) if limits[r["source"]] else 0.0 for r in rows}
-    weights, size, exponent = weights_for_targets(tokens, shares, limits, budget)
+    weights, size, exponent = weights_for_mix(tokens, shares, limits, budget, stretch, nats)
     # whole passes, and what is left for a part of one more
     plan = {}
     for s, w in weights.items():

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left, bisect_right
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,24 +30,25 @@ def boundaries(text: str) -> tuple[list[int], list[int], list[int]]:
     return tuple([m.end() for m in p.finditer(text)] for p in (_PARAGRAPH, _UNIT, _WORD))
 
 
-def cut_text(n: int, kinds: tuple[list[int], ...], limit: int, overlap: int, prefix: list[int] | None = None) -> list[tuple[int, int]]:
+def cut_text(n: int, kinds: tuple[list[int], ...], limit: int, overlap: int, prefix: Sequence[int] | None = None) -> list[tuple[int, int]]:
     """Pieces ``[begin, end)`` of a text of ``n`` positions, each of size <= ``limit``.
 
-    ``prefix[i]`` is the size of the first ``i`` positions (default: ``i``).
-    Each piece ends at the last paragraph, unit or word boundary under the
-    limit that leaves it filled enough, else exactly at the limit.  The next
+    ``prefix[i]`` is the size of the first ``i`` positions (default: ``i``, as a
+    range).  Each piece ends at the last paragraph, unit or word boundary under
+    the limit that leaves it filled enough, else exactly at the limit.  The next
     piece begins ``overlap`` before that end, or later at a natural boundary if
     there is one in the overlap.  Every position lies in a piece, and each piece
     ends behind the one before.
     """
-    size = (lambda i: i) if prefix is None else prefix.__getitem__
+    prefix = range(n + 1) if prefix is None else prefix
+    size = prefix.__getitem__
     out, begin = [], 0
     done = 0  # end of the piece before
     while True:
         if size(n) - size(begin) <= limit:
             out.append((begin, n))
             return out
-        top = begin + limit if prefix is None else bisect_right(prefix, prefix[begin] + limit) - 1
+        top = bisect_right(prefix, prefix[begin] + limit) - 1
         end = 0
         for cuts, fill in zip(kinds, FILL):
             k = bisect_right(cuts, top) - 1
@@ -57,7 +59,7 @@ def cut_text(n: int, kinds: tuple[list[int], ...], limit: int, overlap: int, pre
             end = top if top > done else done + 1  # a hard cut always goes on
         out.append((begin, end))
         done = end
-        back = end - overlap if prefix is None else bisect_left(prefix, prefix[end] - overlap)
+        back = bisect_left(prefix, prefix[end] - overlap)
         back = max(back, begin + 1)
         begin = back
         for cuts in kinds:  # the earliest natural start in the overlap; paragraphs first
@@ -67,13 +69,33 @@ def cut_text(n: int, kinds: tuple[list[int], ...], limit: int, overlap: int, pre
                 break
 
 
-def split_texts(df: DataFrame, key: str, text: str, limit: int = 2500, overlap: int = 200) -> DataFrame:
-    """Pieces of each text longer than ``limit`` code points.
+def token_prefix(text: str, tokens: list[int], starts: list[int]) -> list[int]:
+    """Prefix sums of tokens by code point: ``starts`` are the places where tokens begin.
+
+    A token counts from its first code point on, so a piece has as many as begin in it.
+    """
+    count = np.bincount(np.asarray(starts, np.int64), minlength=len(text))[: len(text)]
+    return np.concatenate([[0], np.cumsum(count)]).tolist()
+
+
+def sizes_in_tokens(text: str, vocabulary: str) -> list[int]:
+    """:func:`token_prefix` of a text under the tokenizer of a vocabulary file."""
+    from textveil.llm.mixing import encoder
+
+    enc = encoder(vocabulary)
+    tokens = enc.encode_ordinary(text)
+    return token_prefix(text, tokens, enc.decode_with_offsets(tokens)[1])
+
+
+def split_texts(df: DataFrame, key: str, text: str, limit: int = 2500, overlap: int = 200, vocabulary: str | None = None) -> DataFrame:
+    """Pieces of each text longer than ``limit``, in code points or, with the file
+    of a ``vocabulary``, in tokens of its tokenizer.
 
     Columns ``(key, piece_no int, begin_pos int, end_pos int)``, positions in
     code points of the text as it stands.  Texts within the limit, empty and
-    null texts give no row (the filter runs before any Python); repeated rows
-    give repeated pieces.  ``overlap`` must be smaller than half the limit.
+    null texts give no row (texts with no more code points than the limit never
+    leave the JVM, as a token has at least one); repeated rows give repeated
+    pieces.  ``overlap`` must be smaller than half the limit.
     """
     if not 0 <= overlap * 2 < limit:
         raise ValueError("overlap must be smaller than half the limit")
@@ -87,7 +109,12 @@ def split_texts(df: DataFrame, key: str, text: str, limit: int = 2500, overlap:
             lo: list[int] = []
             hi: list[int] = []
             for i, t in enumerate(b.column("text").to_pylist()):
-                got = cut_text(len(t), boundaries(t), limit, overlap)
+                prefix = None
+                if vocabulary is not None:
+                    prefix = sizes_in_tokens(t, vocabulary)
+                    if prefix[-1] <= limit:
+                        continue
+                got = cut_text(len(t), boundaries(t), limit, overlap, prefix)
                 rows += [i] * len(got)
                 no += range(len(got))
                 lo += [x for x, _ in got]

@@ -171,3 +171,17 @@ def assign_splits(persons_rows: DataFrame, proportions: dict[str, float] | None
         big = spark.createDataFrame(placed, "root string, new_phase string").join(comp.select("root", "state"), "root")
         chosen = chosen.union(big.select("root", "new_phase", "state"))
     return rows.join(chosen, "root").select("split_id", "root", "person_no", "phase", "new_phase", "state")
+
+
+def run_batches(batches: list[DataFrame], lookup: DataFrame, mapping: DataFrame, proportions: dict[str, float] | None = None) -> DataFrame:
+    """Several deliveries one after the other, each with all rows so far: the
+    component table and the phases of one are written, and read by the next.
+
+    The answer is :func:`assign_splits` of the last delivery.
+    """
+    known = prior = out = None
+    for rows in batches:
+        placed, components = persons(rows, lookup, mapping, known)
+        out = cut(assign_splits(placed, proportions, prior, components if prior is not None else None))
+        known, prior = components, out.select("root", "new_phase").distinct()
+    return out
