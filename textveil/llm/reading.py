@@ -23,8 +23,8 @@ from textveil.session import cut
 
 #: Buckets of words; they bound the lists, which are collected and broadcast.
 BUCKETS = 1 << 18
-#: Most languages with lists of their own.
-LANGUAGES = 4
+#: Most languages with lists of their own; all others share one list.
+LANGUAGES = 15
 #: Edges of familiarity: shares of a language's texts that hold a word.
 EDGES = np.array([1e-4, 3e-3, 0.01, 0.02, 0.04, 0.08, 0.12, 0.18, 0.25, 0.35])
 #: Most rated texts the formula is fitted to (by the order of a hash).
@@ -32,40 +32,61 @@ MAX_RATED = 4000
 LEVELS = (1, 2, 3, 4)
 ROUNDS, STEPS = 4, 200
 
-_WORD = re.compile(r"[^\W\d_]+")
-_SENTENCE = re.compile(
-    r"(?:(?<=[^\W\d_]{3}[.!?])|(?<=[)“”\"%][.!?])|(?<=\d,\d[.])|(?<=\d,\d\d[.])|(?<=\d\.\d[.])|(?<=\d\.\d\d[.])|(?<=[A-Z0-9]{3}[.!?]))[\"“”]?\s+(?=[A-ZÄÖÜ„“\"])"
-    r"|(?:\r\n|\r|\n)\s*(?:\r\n|\r|\n)|(?<=[.!?])\s*[\r\n]|(?<=[。！？।])"
-)
-_memo: dict[str, int] = {}
-
-
-def sentence_words(text: str) -> list[list[int]]:
-    """Buckets of the words of each sentence, and their lengths in the low bits."""
-    out = []
-    for s in _SENTENCE.split(text):
-        ids = []
-        for w in _WORD.findall(s.lower()):
-            n = _memo.get(w)
-            if n is None:
-                if len(_memo) > 300_000:
-                    _memo.clear()
-                n = _memo[w] = (crc32(w.encode("utf-8", "replace")) % BUCKETS) * 64 + min(len(w), 63)
-            ids.append(n)
-        if ids:
-            out.append(ids)
-    return out
+# where a sentence may end: a stop before a capital letter, a stop at a line end, a blank line, a stop of other scripts
+_ENDS = re.compile(r"[.!?](?:([\"“”]?\s+)(?=[A-ZÄÖÜ„“\"])|(\s*[\r\n]))|((?:\r\n|\r|\n)\s*(?:\r\n|\r|\n)|(?<=[。！？।]))")
+# what stands before a stop that ends a sentence: a word, a bracket, a decimal, an acronym; no abbreviation or ordinal
+_CLOSED = re.compile(r"(?:[^\W\d_]{3}|[)“”\"%]|\d[,.]\d\d?|[A-Z0-9]{3})\Z")
+_TOKEN = re.compile(r"[^\W\d_]+|[\x00\x01]")
+_MARKS = str.maketrans("\x00\x01", "  ")
+
+
+def _mark(m: re.Match) -> str:
+    """A sentence end becomes a mark; other stops stay."""
+    if m.group(3) is not None:
+        return "\x00"
+    at = m.start()
+    if m.group(1) is not None:
+        before = m.string[max(0, at - 4) : at]
+        if _CLOSED.search(before) and (m.string[at] == "." or not re.search(r"\d[,.]\d\d?\Z", before) or re.search(r"[A-Z0-9]{3}\Z", before)):
+            return m.group(0)[0] + "\x00"
+        space = m.group(1)
+        cut_ = max(space.rfind("\n"), space.rfind("\r"))
+        return m.group(0) if cut_ < 0 or space[0] in "\"“”" else m.group(0)[0] + "\x00" + space[cut_ + 1 :]
+    return m.group(0)[0] + "\x00"
+
+
+class _Buckets(dict):
+    """Words to their bucket, with their length in the low bits."""
+
+    def __missing__(self, w: str) -> int:
+        if len(self) > 300_000:
+            self.clear()
+            self.update({"\x00": -1, "\x01": -2})
+        n = self[w] = (crc32(w.encode("utf-8", "replace")) % BUCKETS) * 64 + min(len(w), 63)
+        return n
+
+
+_bucket = _Buckets({"\x00": -1, "\x01": -2})
 
 
 def _arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each text as its words and the sizes of its sentences: the only pass over text."""
     for b in batches:
-        sizes, ids = [], []
-        for t in b.column("text").to_pylist():
-            got = sentence_words(t)
-            sizes.append([len(s) for s in got])
-            ids.append([w for s in got for w in s])
-        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("lang"), pa.array(sizes, pa.list_(pa.int32())), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "lang", "sizes", "ids"])
+        marked = [_ENDS.sub(_mark, t.translate(_MARKS) if "\x00" in t or "\x01" in t else t) for t in b.column("text").to_pylist()]
+        got = np.fromiter(map(_bucket.__getitem__, _TOKEN.findall("".join(f"{t}\x00\x01" for t in marked).lower())), np.int64)
+        ends = np.flatnonzero(got == -1)
+        texts = np.flatnonzero(got == -2)
+        before = np.concatenate([[-1], ends[:-1]]) if len(ends) else ends
+        size = ends - before - 1
+        size -= np.searchsorted(texts, ends) - np.searchsorted(texts, before)  # marks of text ends lie between
+        of = np.searchsorted(texts, ends)
+        full = size > 0
+        words = got[got >= 0]
+        n_words = np.bincount(of[full], size[full], b.num_rows).astype(np.int64)
+        off = lambda n: pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32))
+        sizes = pa.ListArray.from_arrays(off(np.bincount(of[full], minlength=b.num_rows)), pa.array(size[full].astype(np.int32)))
+        ids = pa.ListArray.from_arrays(off(n_words), pa.array(words.astype(np.int32)))
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("lang"), sizes, ids], ["doc_id", "lang", "sizes", "ids"])
 
 
 def _flat(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -77,13 +98,12 @@ def _flat(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
 
 def _count(languages: list[str]):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        df = np.zeros(len(languages) * BUCKETS, np.int64)
+        df = np.zeros((len(languages) + 1) * BUCKETS, np.int64)
         number = {l: i for i, l in enumerate(languages)}
         for b in batches:
             _, _, word, of = _flat(b)
-            lang = np.array([number.get(l, -1) for l in b.column("lang").to_pylist()], np.int64)
-            known = lang[of] >= 0
-            once = np.unique(of[known] * BUCKETS + (word[known] >> 6))
+            lang = np.array([number.get(l, len(languages)) for l in b.column("lang").to_pylist()], np.int64)
+            once = np.unique(of * BUCKETS + (word >> 6))
             df += np.bincount(lang[once // BUCKETS] * BUCKETS + once % BUCKETS, minlength=len(df))
         at = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(df[at], pa.int64())], ["bucket", "n"])
@@ -94,28 +114,30 @@ def _count(languages: list[str]):
 def familiarity(words: DataFrame) -> np.ndarray:
     """``[language, bucket]``: share of a language's texts that hold the word.
 
-    Languages are the most frequent codes of two letters; texts without a known
-    one teach nothing (they are read with the list that suits them best).
+    Languages are codes of two letters that one text in two hundred has, the
+    LANGUAGES most frequent of them; the texts of all others, and those without a
+    code, make up one list, so every text teaches.  A text is read with the list
+    that suits it best.
     """
-    counts = words.where("lang is not null").groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    if not counts:
+    all_ = words.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()  # codes of two letters
+    n_texts = sum(r["count"] for r in all_)
+    if not n_texts:
         return np.full((1, BUCKETS), 5e-5)
-    names = [r["lang"] for r in counts]
-    total = np.array([r["count"] for r in counts], np.float64)
+    own = [r for r in all_ if r["lang"] is not None and r["count"] >= 0.005 * n_texts][:LANGUAGES]
+    names = [r["lang"] for r in own]
+    total = np.array([*(r["count"] for r in own), n_texts - sum(r["count"] for r in own)], np.float64)
     got = words.mapInArrow(_count(names), "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
-    flat = np.zeros(len(names) * BUCKETS)
+    flat = np.zeros((len(names) + 1) * BUCKETS)
     flat[got.column("bucket").to_numpy()] = got.column("n").to_numpy()
-    share = flat.reshape(len(names), BUCKETS) / total[:, None]
-    keep = total >= 0.005 * total.sum()  # misspelt codes get no list
-    return np.maximum(share[keep], 5e-5).astype(np.float32)
+    share = flat.reshape(len(names) + 1, BUCKETS) / np.maximum(total, 1)[:, None]
+    return np.maximum(share[total > 0], 5e-5).astype(np.float32)
 
 
-def describe(b: pa.RecordBatch, share: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def describe(b: pa.RecordBatch, share: np.ndarray, logs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """``(features, text of each row)`` of all sentences of a batch."""
     n, of, word, _ = _flat(b)
     if not len(n):
         return np.zeros((0, len(EDGES) + 5)), np.zeros(0, np.int64)
-    logs = np.log(share)
     first = np.concatenate([[0], np.cumsum(n)])[:-1]
     known = np.stack([np.add.reduceat(l[word >> 6].astype(np.float64), first) for l in logs]) / n
     best = known.argmax(0)
@@ -193,15 +215,15 @@ def reading_levels(docs: DataFrame, labels: DataFrame) -> DataFrame:
     sample = words.join(F.broadcast(rated), "doc_id").select("y", "sizes", "ids").toArrow()
     formula = None
     if len(sample):
-        x, of = describe(sample.combine_chunks().to_batches()[0], share)
+        x, of = describe(sample.combine_chunks().to_batches()[0], share, np.log(share))
         if len(of):
             formula = fit(x, sample.column("y").to_numpy().astype(np.int64)[of] - 1)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        k = len(LEVELS)
+        k, logs = len(LEVELS), np.log(share)
         for b in batches:
             m = b.num_rows
-            x, of = describe(b, share)
+            x, of = describe(b, share, logs)
             sentences = np.bincount(of, minlength=m)
             total = np.bincount(of, x[:, 1] * 10, minlength=m) if len(of) else np.zeros(m)
             odd = np.bincount(of, x[:, 1] * 10 * x[:, 8], minlength=m) if len(of) else np.zeros(m)

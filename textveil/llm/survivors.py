@@ -15,8 +15,8 @@ from textveil.session import cut
 
 #: Trust of a status, best first; all others and null come last.
 TRUST = (("final", "amended", "corrected"), ("preliminary", "partial", "registered"))
-#: Statuses that take part in the learned order, the most frequent ones.
-MAX_VALUES = 200
+#: Most statuses; more of them raise, as their order is worked out on the driver.
+MAX_VALUES = 10_000
 FIELDS = ("per_number", "text", "modality", "site", "lang")
 
 
@@ -29,11 +29,13 @@ def learn_precedence(rows: DataFrame, group: str, value: str, at: str, min_suppo
     topological order of the values (ties by name).  Null values, groups and
     timestamps teach nothing.
     """
-    common = [r[0] for r in rows.where(F.col(value).isNotNull()).groupBy(value).count().orderBy(F.desc("count"), value).limit(MAX_VALUES).collect()]
-    last = rows.where(F.col(group).isNotNull() & F.col(at).isNotNull() & F.col(value).isin(common)).groupBy(group, value).agg(F.max(at).alias("t"))
+    common = [r[0] for r in rows.where(F.col(value).isNotNull()).select(value).distinct().orderBy(value).limit(MAX_VALUES + 1).collect()]
+    if len(common) > MAX_VALUES:
+        raise ValueError(f"more than {MAX_VALUES} values of {value}")
+    last = rows.where(F.col(group).isNotNull() & F.col(at).isNotNull() & F.col(value).isNotNull()).groupBy(group, value).agg(F.max(at).alias("t"))
     u = last.select(group, F.col(value).alias("u"), F.col("t").alias("tu"))
     v = last.select(group, F.col(value).alias("v"), F.col("t").alias("tv"))
-    seen = u.join(v, group).where("u <> v and tu < tv").groupBy("u", "v").count().collect()  # at most MAX_VALUES ** 2
+    seen = u.join(v, group).where("u <> v and tu < tv").groupBy("u", "v").count().collect()  # pairs of statuses, not of rows
     n = {(r["u"], r["v"]): r["count"] for r in seen}
     edges = sorted(((c - n.get((b, a), 0), a, b) for (a, b), c in n.items() if c >= min_support and c > n.get((b, a), 0)), key=lambda e: (-e[0], e[1], e[2]))
     after: dict[str, set] = {x: set() for x in common}
