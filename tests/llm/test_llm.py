@@ -110,6 +110,28 @@ def test_units_of_layout_and_scripts(spark):
     assert not got[3] and not got[4] and not got[5] and got[6] == ["x" * 50000] and got[7] == ["यह है।", "3 दिन।"]
 
 
+def test_text_without_stops_is_cut_between_words(spark):
+    """What other texts end and open tells where an unpunctuated one is to be cut."""
+    rng = random.Random(6)
+    parts = [("die leber ist", "unauffällig"), ("es zeigt sich kein", "erguss"), ("die milz ist normal", "gross"), ("kontrolle in sechs wochen", "empfohlen"), ("keine rippe ist", "gebrochen")]
+    whole = [f"{a} {b}" for a, b in parts]
+    texts = [". ".join(rng.choice(whole).capitalize() for _ in range(6)) + "." for _ in range(200)]
+    order = [rng.randrange(5) for _ in range(16)]
+    bare = " ".join(whole[k] for k in order)
+    got = units(spark, [*texts, bare])[len(texts)]
+    due = [whole[k] for k in order]
+    assert sum(u in due for u in got) >= 0.9 * len(due)
+    lao = units(spark, ["ຂ້ອຍກິນເຂົ້າ ລາວໄປຕະຫຼາດ", "ខ្ញុំញ៉ាំបាយ។ គាត់ទៅផ្សារ។"])
+    assert [len(x) for x in (lao[0], lao[1])] == [2, 2]
+
+
+def test_long_quotations_stay_whole():
+    text = "Er sagte: „" + "Das ist gut. " * 60 + "Ende.“ Dann ging er."
+    ends, _, kinds = sentences.gaps(text)[:3]
+    inside = [k for e, k in zip(ends, kinds) if e < text.index("“")]
+    assert len(inside) >= 60 and set(inside) == {sentences.NEVER}
+
+
 def test_abbreviations_are_learnt(spark):
     rng = random.Random(1)
     tails = ["Alles gut.", "Kein Befund.", "Nichts neu.", "Die Lunge ist frei."]
