@@ -235,3 +235,78 @@ def test_evaluation_within_rows_equals_join(spark):
     rep = evaluate.report(df, "doc", "g", "p")
     assert {r.sheet for r in rep.collect()} == {"doc_only_type", "sum_only_type", "doc_with_kind", "sum_with_kind"}
     assert rep.where("sheet = 'doc_with_kind' and eval_name = 'strict'").count() == 26
+
+
+def test_seeded_offsets_are_repeated():
+    a, b = corpus.seeded_offsets(["p2", "p1", "p3"]), corpus.seeded_offsets(["p3", "p2", "p1"])
+    assert a == b and [x[0] for x in a] == ["p1", "p2", "p3"]
+    assert all(d and -14 <= d <= 14 and y in (-2, -1, 1, 2) for _, d, y in corpus.seeded_offsets(range(300)))
+
+
+def test_text_functions(spark):
+    from textveil.functions.texts import char_diff, decode_base64
+
+    df = spark.createDataFrame([("R3LDvMOfZQ==", "abc", "abd"), ("?", "x", "x"), (None, None, "y")], "b string, p string, q string")
+    got = df.select(decode_base64(F.col("b")).alias("t"), char_diff(F.col("p"), F.col("q")).alias("d")).collect()
+    assert [r.t for r in got] == ["Grüße", None, None]
+    assert got[0].d.split("\n")[3:] == ["-c", "+d"] and got[1].d == "" and got[2].d.endswith("+y")
+
+
+def test_sample_is_the_first_by_hash(spark):
+    ids = spark.createDataFrame([(f"p{i}",) for i in range(3000)] + [("p1",)] * 50, "p string")
+    for percent in (0, 0.01, 33, 100):
+        n = -(-percent * 3000 // 100)
+        want = {r.p for r in ids.distinct().orderBy(corpus.portable_hash(F.col("p")), "p").limit(int(n)).collect()}
+        assert {r.p for r in corpus.sample_patients(ids, "p", percent).collect()} == want
+    assert corpus.sample_patients(ids.limit(0), "p", 50).count() == 0
+
+
+def test_balanced_patients(spark):
+    rows = [("a", "ID", "X")] * 5 + [("b", "ID", "X"), ("c", "ID", "X")] + [("a", "Date", "D")] * 2
+    df = spark.createDataFrame(rows, "p string, main_class string, sub_class string")
+    train = df.select("p").distinct()
+    kept = {r.p for r in corpus.balanced_patients(df, train, "p", 0.5, 0.9).collect()}
+    counts = [tuple(r) for r in df.groupBy("p", F.concat_ws("_", "main_class", "sub_class")).count().collect()]
+    assert kept == {"a", "b", "c"} - corpus.balance(counts, {"a", "b", "c"}, 0.5, 0.9)
+
+
+def test_callbacks_and_models(spark, tmp_path):
+    from textveil.operators import detect
+
+    df = annotated_texts(spark, [(1, "ab Befund", [(0, 2, "A", "B")]), (2, None, None), (3, "x", None)])
+    twice = lambda a, t: [a, {**a, "begin": a["begin"] + 1}]
+    got = detect.apply_callbacks(df, "doc", "text", "spans", twice, lambda t: [{"begin": 0, "end": len(t), "main_class": "W", "sub_class": "T"}])
+    assert sorted((r.doc, r.begin, r.end, r.main_class) for r in got.collect()) == [(1, 0, 2, "A"), (1, 0, 9, "W"), (1, 1, 2, "A"), (3, 0, 1, "W")]
+    folder = tmp_path / "run_2024-01-02_10-11"
+    folder.mkdir()
+    (folder / "config.json").write_text('{"_name_or_path": "org/some-model"}')
+    assert detect.model_info(str(folder)) == {"name": "some-model", "stamp": "2024-01-02_10-11"}
+    assert detect.model_pair_name("a/b", "c") == "b_c" and detect.split_label("Name_A_B") == ("Name", "A_B") and detect.split_label("Name") == ("Name", "")
+
+
+def test_scores_of_pieces_and_runs(spark):
+    o, b, i = [0.9, 0.05, 0.05], [0.1, 0.8, 0.1], [0.2, 0.1, 0.7]
+    rows = [(1, 0, o, False), (1, 1, b, False), (1, 2, i, False), (1, 3, [0.3, 0.1, float("nan")], True), (1, 4, b, False), (1, 5, b, True)]
+    df = spark.createDataFrame(rows, "doc int, pos int, s array<double>, sub boolean")
+    runs = scores.sentence_scores(df.where("pos <> 3"), "doc", "pos", "s", ["O", "B-A", "I-A"], "sentence_max", "sub").orderBy("first").collect()
+    assert [(r.first, r.last, r.idx) for r in runs] == [(0, 0, 0), (1, 2, 1), (4, 5, 1)]
+    w = spark.createDataFrame([([[0.5, float("nan")], [0.1, 0.4]],)], "r array<array<double>>").select(scores.word_score(F.col("r"), "average").alias("w")).first().w
+    assert w.idx == 1 and abs(w.score - 0.4) < 1e-9
+    for bad in ("sentence_max", "exact", "none", "unheard"):
+        with pytest.raises(ValueError):
+            scores.words_from_pieces(df, ["doc"], "pos", "s", bad)
+
+
+def test_letterhead_headings_in_order(spark):
+    body = "Institut für Pathologie\nx\n{}Text\nKein Anhalt für Malignität. \nEnde"
+    for head in ("Sektionsbericht", "Nachbericht mit Makroskopie\n", "3. Befundbericht", "Klinische Angaben (kurz):\n"):
+        t = body.format(head)
+        r = spark.createDataFrame([(t,)], "t string").select(letterhead.letterhead_spans(F.col("t")).alias("s")).first().s
+        assert (r[0].begin, r[0].end) == (0, t.index(head)) and r[-1].end == len(t)
+
+
+def test_cuts_are_dropped(spark):
+    from textveil import session
+
+    df = session.cut(spark.createDataFrame([(1,)], "a int"))
+    assert df.count() == 1 and session.drop_cuts(spark) >= 1 and session.drop_cuts(spark) == 0

@@ -60,3 +60,34 @@ def test_stream_equals_batch(spark, tmp_path):
     q.awaitTermination(120)
     batch = rewrite.deidentify(df, "doc", "text", detect.CONTACTS + detect.RADIOLOGY, {})
     assert sorted(spark.read.parquet(str(tmp_path / "out")).collect()) == sorted(batch.collect())
+
+
+def test_phases_sheets_and_mismatches(spark, tmp_path):
+    t = spark.createDataFrame([("a/b:c", "x", "train"), ("d", "y", None), ("e", None, "test"), ("f", "", "test")], "n string, t string, p string")
+    documents.write_texts(t, "n", "t", str(tmp_path / "t"), "p")
+    assert {(r.document_id, r.phase, r.text) for r in documents.read_texts(spark, str(tmp_path / "t"), True).collect()} == {("a_b:c", "train", "x"), ("d", None, "y")}
+    assert documents.read_texts(spark, str(tmp_path / "t")).count() == 1
+    sheets = spark.createDataFrame([("s1", 1), ("s2", 2)], "sheet string, v int")
+    documents.write_sheets(sheets, str(tmp_path / "s"))
+    assert [r.v for r in documents.read_sheet(spark, str(tmp_path / "s"), "s2").collect()] == [2]
+    e = spark.createDataFrame([("b", 0, "1", "R", "x"), ("b", 1, "2", "R", "y")], "bundle string, pos int, id string, resourceType string, valueString string")
+    new, odd = documents.rewrite_bundles(e, spark.createDataFrame([("1", "X"), ("9", "Z")], "k string, v string"), "k", "v")
+    assert {(r.id, r.valueString) for r in new.collect()} == {("1", "X"), ("2", "y")}
+    assert {(r.id, r.state) for r in odd.collect()} == {("2", "not_rewritten"), ("9", "not_in_bundle")}
+
+
+def test_metric_files_and_pairs(spark, tmp_path):
+    d = spark.createDataFrame([("j", "Text eins.", [])], "n string, t string, s array<struct<begin:int,end:int,main_class:string,sub_class:string>>")
+    js = documents.annotation_json(d, "n", "t", "s", "DocumentAnnotation").collect()
+    (tmp_path / "j.json").write_text(js[0].content)
+    (tmp_path / "k.txt").write_text("zwei")
+    assert {(r.document, r.text) for r in documents.read_metric_texts(spark, str(tmp_path)).collect()} == {("j.txt", "Text eins."), ("k", "zwei")}
+    g = spark.createDataFrame([("1", "a"), ("2", "b"), ("3", None)], "k string, t string")
+    p = spark.createDataFrame([("1", "a"), ("2", "c"), ("3", None), ("4", "d")], "k string, t string")
+    assert {(r.k, r.state) for r in xmi.paired(g, p, "k", "t").collect()} == {("1", "same"), ("2", "other_text"), ("3", "same"), ("4", "only_pred")}
+
+
+def test_csv_keeps_blanks_and_nulls(spark, tmp_path):
+    df = spark.createDataFrame([("", None, ' a"b ', "x\ny"), (None, "", "c", "\\N?")], "type string, per_number string, id string, more string")
+    documents.write_csv(df, str(tmp_path / "c"))
+    assert sorted(documents.read_csv(spark, str(tmp_path / "c"), df._jdf.schema().toDDL()).collect(), key=str) == sorted(df.collect(), key=str)

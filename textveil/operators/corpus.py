@@ -69,7 +69,18 @@ def sample_patients(patients: DataFrame, key: str, percent: float, seed: int | N
     if seed is not None:
         drawn = random.Random(seed).sample(sorted(r[0] for r in ids.collect()), k)
         return ids.where(F.col(key).isin(drawn))
-    return ids.orderBy(portable_hash(F.col(key)), key).limit(k)
+    # a histogram of hashes tells below which all are taken; only the bucket on the edge is put in order
+    hashed = ids.withColumn("_h", portable_hash(F.col(key))).withColumn("_b", F.shiftright("_h", 20).cast("int"))
+    edge, before = None, 0
+    for r in hashed.groupBy("_b").count().orderBy("_b").collect():  # 4,096 buckets at most
+        if before + r["count"] > k:
+            edge = r["_b"]
+            break
+        before += r["count"]
+    if edge is None:
+        return ids
+    rest = hashed.where(F.col("_b") == edge).orderBy("_h", key).limit(k - before)
+    return hashed.where(F.col("_b") < edge).select(key).unionAll(rest.select(key))
 
 
 def train_test(docs: DataFrame, train_patients: DataFrame, patient: str) -> DataFrame:

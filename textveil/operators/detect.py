@@ -8,6 +8,8 @@ their spans.
 
 from __future__ import annotations
 
+import json
+import os
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from typing import Protocol
@@ -110,6 +112,19 @@ class SpanModel(Protocol):
     def predict(self, texts: list[str]) -> list[list[dict]]: ...
 
 
+def model_info(folder: str) -> dict[str, str]:
+    """Name and time stamp of a model folder ``.._<date>_<time>``: the last part of
+    the name in its config.json, and the last two parts of the folder's own."""
+    with open(os.path.join(folder, "config.json"), encoding="utf-8") as f:
+        name = json.load(f)["_name_or_path"].split("/")[-1]
+    return {"name": name, "stamp": "_".join(os.path.basename(os.path.normpath(folder)).split("_")[-2:])}
+
+
+def model_pair_name(superclass: str, subclass: str) -> str:
+    """The name of a run of two models; of each the part behind the last slash."""
+    return f"{superclass.split('/')[-1]}_{subclass.split('/')[-1]}"
+
+
 def split_label(label: str) -> tuple[str, str]:
     """``Class_SUB`` as class and subclass; a label without ``_`` has the subclass ''."""
     main, _, sub = label.partition("_")

@@ -28,7 +28,8 @@ def xml_clean(c: Column) -> Column:
 def read_texts(spark: SparkSession, path: str, inference: bool = False) -> DataFrame:
     """``(document_id, phase, text)`` of ``*.txt`` in the folders train and test under
     ``path``, the phase being the name of the folder; with ``inference`` also of
-    those in ``path`` itself, which have no phase."""
+    those in ``path`` itself, which have no phase.  An empty file gives no row, as
+    Spark plans no task for it."""
     t = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").load(path)
     t = t.select(F.col("path").alias("p"), xml_clean(F.decode("content", "UTF-8")).alias("text"))
     phase = F.element_at(F.split("p", "/"), -2)
