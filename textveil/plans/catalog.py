@@ -170,7 +170,7 @@ def show_original(spark, d):
 def policy_lookup(spark, d):
     s = _spans(reports(spark, d), detect.RADIOLOGY)
     p = rewrite.policy_table(spark, POLICY)
-    j = s.join(F.broadcast(p), (F.upper("main_class") == F.col("policy_class")) & (F.upper("sub_class") == F.col("policy_sub")), "left")
+    j = s.join(p, (F.upper("main_class") == F.col("policy_class")) & (F.upper("sub_class") == F.col("policy_sub")), "left")
     return j.groupBy("main_class", "sub_class", F.coalesce("method", F.lit("replace")).alias("method")).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -243,7 +243,7 @@ def offset_lookup(spark, d):
 def _notes(spark, d) -> DataFrame:
     """Notes made from orders, customers and nations."""
     o, c, n = table(spark, d, "orders"), table(spark, d, "customer"), table(spark, d, "nation")
-    j = o.join(c, o.o_custkey == c.c_custkey).join(F.broadcast(n), c.c_nationkey == n.n_nationkey)
+    j = o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
     k = F.col("o_orderkey")
     text = F.concat(
         F.lit("Institut für Pathologie\nEingang "), F.date_format("o_orderdate", "dd.MM.yyyy"), F.lit("\nBefundbericht\nFrau "), F.col("c_name"), F.lit(" aus "), F.col("n_name"), F.lit(", "),
