@@ -36,7 +36,7 @@ def ship(spark: SparkSession) -> None:
     Needed where it is not installed there, as Python operators run in their processes.
     """
     sc = spark.sparkContext
-    if sc.master.startswith("local") or getattr(sc, "_textveil_shipped", False):
+    if getattr(sc, "_textveil_shipped", False):
         return
     here = os.path.dirname(os.path.abspath(__file__))
     path = os.path.join(tempfile.mkdtemp(), "textveil.zip")
