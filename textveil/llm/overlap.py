@@ -4,7 +4,8 @@ Word edit distance, at most ``share`` of the longer text's words.  A text of
 ``n`` words is cut into disjoint segments of ``l`` words, at least one more than
 the edits allowed; each edit spoils one segment at most, so of the ``k + 1``
 rarest segments at least one stands unchanged in any partner, moved by at most
-``k`` places.  Segments and runs meet under one number made of the words, a band
+``k`` places; of the ``k + t`` rarest at least ``t`` do, so what meets less often is
+no candidate.  Segments and runs meet under one number made of the words, a band
 of lengths and a bucket of places, so hot runs are spread and only what can match
 is sent.  Candidates pass a parity sketch (each edit flips at most two bits) and a
 bag bound, and the banded dynamic programme decides.  No filter can lose a pair.
@@ -29,6 +30,9 @@ SHARE = 0.15
 SEGMENT = 4
 #: 64-bit words of the parity sketch of a text.
 SKETCH = 4
+#: Of the segments that no edit can spoil, the share that a partner must hold among
+#: the rarest: the rest, the commonest ones, need not meet at all.
+TAKEN = 0.5
 #: Pairs whose distance is worked out at once.
 BATCH = 512
 
@@ -205,7 +209,7 @@ def _probes(share: float):
                     rows.append(at)
                     keys.append(_key(run[at], band[at], bucket))
             at = pa.array(np.concatenate(rows))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), *[b.column(c).take(at) for c in ("cls", "n", "place", "k")]], ["key", "a", "na", "pa", "k"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), *[b.column(c).take(at) for c in ("cls", "n", "place", "k", "t")]], ["key", "a", "na", "pa", "k", "t"])
 
     return emit
 
@@ -342,13 +346,18 @@ def near_classes(eval_classes: DataFrame, train_classes: DataFrame, share: float
     known = pieces.join(df, "run", "left").withColumn("df", F.coalesce("df", F.lit(0)))
     k = _edits_column(share)
     rank = F.row_number().over(Window.partitionBy("cls").orderBy("df", "run", "place"))
-    rare = known.withColumn("rank", rank).where((F.col("rank") <= k + 1) & (F.col("df") > 0)).select("run", "cls", "n", "place", k.alias("k"))
+    # of all m segments, m - k or more stand in a partner; of the k + t rarest ones, t
+    m = F.count(F.lit(1)).over(Window.partitionBy("cls"))
+    t = F.greatest(F.lit(1), F.ceil((m - k) * F.lit(TAKEN))).cast("int")
+    ranked = known.withColumns({"rank": rank, "k": k, "t": t})
+    rare = ranked.where((F.col("rank") <= F.col("k") + F.col("t")) & (F.col("df") > 0)).select("run", "cls", "n", "place", "k", "t")
     # numbers meet under one key of run, length and place; texts and sketches stay where they are
-    a = cut(rare.mapInArrow(_probes(share), "key bigint, a bigint, na int, pa int, k int"))
+    a = cut(rare.mapInArrow(_probes(share), "key bigint, a bigint, na int, pa int, k int, t int"))
     b = tr.mapInArrow(_wanted_runs(share, Filter(a, "key")), "key bigint, b bigint, nb int, pb int")
     allowed = F.floor(F.greatest("na", "nb") * F.lit(share) + 1e-9)
     close = (F.abs(F.col("pa") - F.col("pb")) <= F.col("k")) & (F.abs(F.col("na") - F.col("nb")) <= allowed)
-    met = cut(a.join(b, "key").where(close).select("a", "b", allowed.cast("int").alias("allowed")).distinct())
+    met = a.join(b, "key").where(close).groupBy("a", "b").agg(F.count(F.lit(1)).alias("hits"), F.first("t").alias("t"), F.first(allowed.cast("int")).alias("allowed"))
+    met = cut(met.where("hits >= t").select("a", "b", "allowed"))
     bits = lambda df, p: df.select(F.col("cls").alias(p), *[F.col("sketch")[i].alias(f"s{p}{i}") for i in range(SKETCH)])
     flips = sum((F.bit_count(F.col(f"sa{i}").bitwiseXOR(F.col(f"sb{i}"))) for i in range(SKETCH)), F.lit(0))
     likely = cut(met.join(bits(eval_classes, "a"), "a").join(bits(train_classes, "b"), "b").where(flips <= 2 * F.col("allowed")).select("a", "b"))
