@@ -32,7 +32,7 @@ SEGMENT = 4
 SKETCH = 4
 #: Of the segments that no edit can spoil, the share that a partner must hold among
 #: the rarest: the rest, the commonest ones, need not meet at all.
-TAKEN = 0.5
+TAKEN = 0.2
 #: Pairs whose distance is worked out at once.
 BATCH = 512
 
@@ -209,7 +209,7 @@ def _probes(share: float):
                     rows.append(at)
                     keys.append(_key(run[at], band[at], bucket))
             at = pa.array(np.concatenate(rows))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), *[b.column(c).take(at) for c in ("cls", "n", "place", "k", "t")]], ["key", "a", "na", "pa", "k", "t"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), *[b.column(c).take(at) for c in ("cls", "n", "place", "k", "t", "sketch")]], ["key", "a", "na", "pa", "k", "t", "sketch"])
 
     return emit
 
@@ -228,7 +228,8 @@ def _wanted_runs(share: float, wanted: Filter):
                 ok = wanted.passes(key)
                 parts.append((text[ok], place[ok], key[ok]))
             out = _runs(b, parts)
-            yield pa.RecordBatch.from_arrays([out.column("run"), out.column("cls"), out.column("n"), out.column("place")], ["key", "b", "nb", "pb"])
+            text = pa.array(np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, np.int64))
+            yield pa.RecordBatch.from_arrays([out.column("run"), out.column("cls"), out.column("n"), out.column("place"), b.column("sketch").take(text)], ["key", "b", "nb", "pb", "sketch"])
 
     return emit
 
@@ -351,16 +352,17 @@ def near_classes(eval_classes: DataFrame, train_classes: DataFrame, share: float
     t = F.greatest(F.lit(1), F.ceil((m - k) * F.lit(TAKEN))).cast("int")
     ranked = known.withColumns({"rank": rank, "k": k, "t": t})
     rare = ranked.where((F.col("rank") <= F.col("k") + F.col("t")) & (F.col("df") > 0)).select("run", "cls", "n", "place", "k", "t")
-    # numbers meet under one key of run, length and place; texts and sketches stay where they are
-    a = cut(rare.mapInArrow(_probes(share), "key bigint, a bigint, na int, pa int, k int, t int"))
-    b = tr.mapInArrow(_wanted_runs(share, Filter(a, "key")), "key bigint, b bigint, nb int, pb int")
+    # runs meet under one key of words, length and place; the sketch goes with them, as it
+    # stops most of the many meetings of stock phrases before any pair is made
+    rare = rare.join(ev.select("cls", "sketch"), "cls")
+    bits = [F.col("sketch")[i].alias(f"s{i}") for i in range(SKETCH)]
+    a = cut(rare.mapInArrow(_probes(share), "key bigint, a bigint, na int, pa int, k int, t int, sketch array<bigint>").select("key", "a", "na", "pa", "k", "t", *bits))
+    b = tr.mapInArrow(_wanted_runs(share, Filter(a, "key")), "key bigint, b bigint, nb int, pb int, sketch array<bigint>").select("key", "b", "nb", "pb", *[c.alias(f"r{i}") for i, c in enumerate(bits)])
     allowed = F.floor(F.greatest("na", "nb") * F.lit(share) + 1e-9)
-    close = (F.abs(F.col("pa") - F.col("pb")) <= F.col("k")) & (F.abs(F.col("na") - F.col("nb")) <= allowed)
-    met = a.join(b, "key").where(close).groupBy("a", "b").agg(F.count(F.lit(1)).alias("hits"), F.first("t").alias("t"), F.first(allowed.cast("int")).alias("allowed"))
-    met = cut(met.where("hits >= t").select("a", "b", "allowed"))
-    bits = lambda df, p: df.select(F.col("cls").alias(p), *[F.col("sketch")[i].alias(f"s{p}{i}") for i in range(SKETCH)])
-    flips = sum((F.bit_count(F.col(f"sa{i}").bitwiseXOR(F.col(f"sb{i}"))) for i in range(SKETCH)), F.lit(0))
-    likely = cut(met.join(bits(eval_classes, "a"), "a").join(bits(train_classes, "b"), "b").where(flips <= 2 * F.col("allowed")).select("a", "b"))
+    flips = sum((F.bit_count(F.col(f"s{i}").bitwiseXOR(F.col(f"r{i}"))) for i in range(SKETCH)), F.lit(0))
+    close = (F.abs(F.col("pa") - F.col("pb")) <= F.col("k")) & (F.abs(F.col("na") - F.col("nb")) <= allowed) & (flips <= 2 * allowed)
+    met = a.join(b, "key").where(close).groupBy("a", "b").agg(F.count(F.lit(1)).alias("hits"), F.first("t").alias("t"))
+    likely = cut(met.where("hits >= t").select("a", "b"))
     wa = eval_classes.select(F.col("cls").alias("a"), F.col("ws").alias("ws_a"))
     wb = train_classes.select(F.col("cls").alias("b"), F.col("ws").alias("ws_b"))
     full = likely.join(wa, "a").join(wb, "b").repartition(tasks, "a", "b")
