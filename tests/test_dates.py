@@ -65,7 +65,7 @@ def test_birthdates_of_all_rows(spark):
 
     d = "/root/testdata/sf0.001"
     given = {r.doc: (r.covered, r.days, r.years) for r in catalog._dates(spark, d).collect()}
-    got = {r.doc: (r.covered, r.shifted) for r in catalog.Q["shift_birthdates_all"](spark, d).collect()}
+    got = {r.doc: (r.covered, r.shifted) for r in catalog.Q["shift_birthdates"](spark, d).collect()}
     assert got == {k: (text, moved_birthdate(text, days, years)) for k, (text, days, years) in given.items()}
 
 
