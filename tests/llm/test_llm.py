@@ -125,6 +125,41 @@ def test_text_without_stops_is_cut_between_words(spark):
     assert [len(x) for x in (lao[0], lao[1])] == [2, 2]
 
 
+def test_short_texts_without_stops_are_cut(spark):
+    """All gaps between words are looked at, in a short stretch as in a long one; none is a boundary within sentences that have stops."""
+    rng = random.Random(8)
+    parts = [("die leber ist", "unauffällig"), ("es zeigt sich kein", "erguss"), ("die milz ist normal", "gross"), ("kontrolle in sechs wochen", "empfohlen"), ("keine rippe ist", "gebrochen")]
+    whole = [f"{a} {b}" for a, b in parts]
+    orders = [[rng.randrange(5) for _ in range(6)] for _ in range(300)]
+    texts = [". ".join(whole[k].capitalize() for k in o) + "." for o in orders]
+    bare = [[0, 1], [3, 4, 2], [4, 0, 3]]
+    got = units(spark, [*texts, *(" ".join(whole[k] for k in o) for o in bare), "Er sagt: „die leber ist unauffällig es zeigt sich kein erguss“"])
+    assert all(len(" ".join(whole[k] for k in o)) < 240 for o in bare)
+    assert [got[len(texts) + i] for i in range(3)] == [[whole[k] for k in o] for o in bare]
+    assert all(u.endswith(".") for i in range(len(texts)) for u in got[i])
+    assert len(got[len(texts) + 3]) == 1
+
+
+def test_all_gaps_between_words_are_candidates():
+    texts = ["Ein (kurzer, alter) Text – ohne Stopp", "Ja. Nein doch\nneue Zeile", "ตับ 5 มม", "", "„a b“ c d", "यह है दिन"]
+    got = [sentences.gaps(t) for t in texts]
+    of = np.repeat(np.arange(len(texts)), [len(g[0]) for g in got])
+    ends, nexts = (np.concatenate([np.array(g[k], np.int64) for g in got]) for k in (0, 1))
+    new = sentences.between(texts, of, ends, nexts, [g[8] for g in got])[0]
+    cuts = defaultdict(list)
+    for t, e, n in zip(*(x.tolist() for x in new[:3])):
+        cuts[t].append((texts[t][:e].split()[-1], texts[t][n:].split()[0]))
+    assert cuts[0] == [("Ein", "(kurzer,"), ("(kurzer,", "alter)"), ("alter)", "Text"), ("–", "ohne"), ("ohne", "Stopp")]
+    assert cuts[1] == [("Nein", "doch"), ("neue", "Zeile")] and not cuts[2] and not cuts[3]
+    assert cuts[4] == [("b“", "c"), ("c", "d")] and cuts[5] == [("यह", "है"), ("है", "दिन")]
+
+
+def test_words_count_whole():
+    a, b = ("Dann " + w + "konzentrationsbestimmungsverfahren. Ende" for w in ("Blut", "Harn"))
+    assert sentences.gaps(a)[3][0] != sentences.gaps(b)[3][0]
+    assert sentences.gaps("Ende.\n" + "x" * 40 + " gut.")[7][0] == 40
+
+
 def test_long_quotations_stay_whole():
     text = "Er sagte: „" + "Das ist gut. " * 60 + "Ende.“ Dann ging er."
     ends, _, kinds = sentences.gaps(text)[:3]
