@@ -1,6 +1,7 @@
 import math
 import random
-from collections import Counter
+import re
+from collections import Counter, defaultdict
 from pathlib import Path
 
 import numpy as np
@@ -160,6 +161,53 @@ def test_distinct_selection_against_plain_average_linkage(spark):
     assert {r.doc for r in similarity.distinct_selection(df, "st", "doc", "text", k=12, min_chars=1).collect()} == want
 
 
+def _peaks():
+    """Peak memory in MB of this machine's Spark workers, by process."""
+    out = {}
+    for p in Path("/proc").glob("[0-9]*"):
+        try:
+            if b"pyspark" in (p / "cmdline").read_bytes() and b"java" not in (p / "cmdline").read_bytes():
+                out[p.name] = int(re.search(r"VmHWM:\s+(\d+)", (p / "status").read_text()).group(1)) / 1024
+        except (OSError, AttributeError):
+            pass
+    return out
+
+
+@pytest.mark.skipif(not Path("/proc/self/status").exists(), reason="memory is read from /proc")
+def test_distinct_selection_holds_no_square_of_the_classes(spark):
+    rng = random.Random(3)
+    rows = [("s", i, "\n".join([f"allein {i}", *(f"z{int(rng.random() ** 3 * 900)}" for _ in range(6))])) for i in range(8000)]
+    df = spark.createDataFrame(rows, "st string, doc int, text string")
+    before = _peaks()
+    got = {r.doc for r in similarity.distinct_selection(df, "st", "doc", "text", min_chars=1).collect()}
+    assert len(got) == 50
+    grown = [mb - before.get(p, 100) for p, mb in _peaks().items()]
+    assert grown and max(grown) < 350  # the distances of all pairs are 512 MB
+
+
+def test_distinct_selection_takes_equal_distances_by_place(spark):
+    # each first two share one line: the cosine is 1 / sqrt(a * b), the same number for all pairs but for rounding
+    for sides in ([(2, 32), (4, 16), (8, 8)], [(8, 8), (2, 32), (4, 16)], [(3, 48), (6, 24), (9, 16), (12, 12)], [(12, 12), (9, 16), (6, 24), (3, 48)], [(18, 20), (10, 36), (15, 24), (12, 30)], [(12, 30), (15, 24), (10, 36), (18, 20)]):
+        texts = ["\n".join([f"gleich {p}", *(f"{p} {side} {i}" for i in range(n - 1))]) for p, pair in enumerate(sides) for side, n in enumerate(pair)]
+        df = spark.createDataFrame(list(enumerate(texts)), "doc int, text string").withColumn("st", F.lit("s"))
+        for gone in range(1, len(sides)):
+            got = {r.doc for r in similarity.distinct_selection(df, "st", "doc", "text", k=len(texts) - gone, min_chars=1).collect()}
+            assert got == {i for i in range(len(texts)) if i % 2 == 0 or i >= 2 * gone}
+
+
+def test_distinct_selection_of_odd_strata(spark):
+    many = [("viele", 100 - i, f"{i % 3}\n" * 3) for i in range(90)]  # three classes of thirty texts
+    rows = [*many, (None, 1, "a\nb"), (None, 2, "b\na"), (None, 3, "c"), ("leer", 7, "\n\n"), ("leer", 8, "\n\n"), ("leer", 9, None), ("fremd", 5, "x"), ("fremd", 6, "y"), ("fremd", 4, "z")]
+    df = spark.createDataFrame(rows, "st string, doc int, text string")
+    got = defaultdict(set)
+    for r in similarity.distinct_selection(df, "st", "doc", "text", k=2, min_chars=1).collect():
+        got[r.st].add(r.doc)
+    assert {st: len(docs) for st, docs in got.items()} == {"viele": 2, None: 2, "leer": 2, "fremd": 2}
+    assert got[None] == {1, 3} and got["fremd"] == {4, 6}
+    kept = {r.doc for r in similarity.distinct_selection(df.where("st = 'viele'"), "st", "doc", "text", k=10, min_chars=1).collect()}
+    assert kept == {11, 12, 13, 82, 85, 88, 91, 94, 97, 100}
+
+
 def test_line_classes_are_compared_once(spark):
     rng = random.Random(8)
     texts = ["\n".join(f"z{int(rng.random() ** 2 * 25)}" for _ in range(rng.randrange(1, 9))) for _ in range(60)]
